@@ -1,6 +1,13 @@
 """DataFrame operators, each usable with ``df.transform``."""
 
-from orderlayers.operators.classify import accepted, classify, quarantined, with_status
+from orderlayers.operators.classify import (
+    accepted,
+    classify,
+    classify_accepted,
+    classify_quarantined,
+    quarantined,
+    with_status,
+)
 from orderlayers.operators.counts import (
     quarantine_reasons,
     rates,
@@ -20,7 +27,8 @@ from orderlayers.operators.repair import audit_rows, repair_fields
 from orderlayers.operators.validation import error_rows, validate
 
 __all__ = [
-    "accepted", "audit_rows", "classify", "error_rows", "latest_per_key", "merge_counts",
+    "accepted", "audit_rows", "classify", "classify_accepted", "classify_quarantined",
+    "error_rows", "latest_per_key", "merge_counts",
     "merge_latest", "number_rows", "pack", "quarantine_reasons", "quarantined", "rates",
     "repair_fields", "repair_headers", "source_summary", "status_counts", "unpack",
     "upsert_counts", "validate", "with_positions", "with_status",

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from orderlayers import functions as fn
@@ -12,41 +12,65 @@ from orderlayers.operators.headers import repair_headers
 from orderlayers.operators.repair import repair_fields
 
 
-def with_status(df: DataFrame) -> DataFrame:
-    """Add ``record_status`` to a repaired frame; the first matching rule decides."""
+def _quarantine_reason(amount: Column) -> Column:
+    """The first quarantine rule that matches, given the cleaned amount; NULL if none."""
     items = F.col("items_json")
-    status = (
+    return (
         F.when(fn.is_blank(F.col("order_id")), S.MISSING_ORDER_ID)
         .when(fn.is_blank(F.col("customer_id")), S.MISSING_CUSTOMER_ID)
         .when(items.isNotNull() & ~fn.opens_like_json(items), S.CORRUPTED_ITEMS_JSON)
-        .when(F.col("total_amount") == "", S.UNKNOWN_PRICE)
-        .when(F.size("corrections") > 0, S.CORRECTED)
-        .otherwise(S.VALID)
+        .when(amount == "", S.UNKNOWN_PRICE)
     )
+
+
+def with_status(df: DataFrame) -> DataFrame:
+    """Add ``record_status`` to a repaired frame; the first matching rule decides."""
+    kept = F.when(F.size("corrections") > 0, S.CORRECTED).otherwise(S.VALID)
+    status = F.coalesce(_quarantine_reason(F.col("total_amount")), kept)
     return df.select("*", status.alias("record_status"))
 
 
+def _records(df: DataFrame) -> DataFrame:
+    return df.transform(unpack).transform(repair_headers)
+
+
 def classify(df: DataFrame) -> DataFrame:
     """Raw envelope or flat order rows in; repaired, audited, classified rows out."""
-    return (
-        df.transform(unpack)
-        .transform(repair_headers)
-        .transform(repair_fields)
-        .transform(with_status)
-    )
+    return df.transform(_records).transform(repair_fields).transform(with_status)
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    """Valid and corrected rows under their business key."""
+    """Valid and corrected rows of a classified frame under their business key."""
     rows = df.filter(fn.is_accepted(F.col("record_status")))
     return _keyed(rows, fn.validated_key())
 
 
 def quarantined(df: DataFrame) -> DataFrame:
-    """Quarantined rows under their order id or a made-up key."""
+    """Quarantined rows of a classified frame under their order id or a made-up key."""
     rows = df.filter(fn.is_quarantined(F.col("record_status")))
     return _keyed(rows, fn.quarantine_key())
 
 
-def _keyed(df: DataFrame, key) -> DataFrame:
+def classify_accepted(df: DataFrame) -> DataFrame:
+    """``accepted(classify(df))`` that turns the other rows away before repairing any.
+
+    A filter on ``record_status`` would be pushed below the projections with the whole
+    audit trail inlined, every replacement several times over. The quarantine rules
+    alone decide, and of the cleaned fields they need the amount only.
+    """
+    rows = _records(df).filter(_raw_reason().isNull())
+    return _keyed(rows.transform(repair_fields).transform(with_status), fn.validated_key())
+
+
+def classify_quarantined(df: DataFrame) -> DataFrame:
+    """``quarantined(classify(df))`` that repairs the quarantined rows only."""
+    rows = _records(df).filter(_raw_reason().isNotNull())
+    return _keyed(rows.transform(repair_fields).transform(with_status), fn.quarantine_key())
+
+
+def _raw_reason() -> Column:
+    return _quarantine_reason(fn.clean_amount(F.col("total_amount")))
+
+
+def _keyed(df: DataFrame, key: Column) -> DataFrame:
     return df.select(key.alias("_id"), *[c for c in df.columns if c != "_id"])

@@ -10,7 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orderlayers import schema as S
-from orderlayers.operators.classify import accepted, classify, quarantined
+from orderlayers.operators.classify import (
+    accepted,
+    classify,
+    classify_accepted,
+    classify_quarantined,
+    quarantined,
+)
 from orderlayers.operators.counts import rates, source_summary
 from orderlayers.sources.keyed_layers import upsert
 from orderlayers.sources.raw_layer import read_raw
@@ -49,17 +55,17 @@ def run_elt(
     source = source_summary(raw).first()
     if source["rows_read"] == 0:
         return None
-    classified = classify(raw)
-    if storage is not None:
-        classified = classified.persist(storage)
+    if storage is None:
+        bad, good = classify_quarantined(raw), classify_accepted(raw)
+    else:
+        classified = classify(raw).persist(storage)
+        bad, good = quarantined(classified), accepted(classified)
     try:
         held = upsert(
-            spark, base, S.QUARANTINE, quarantined(classified), run_id,
-            _tallies(S.QUARANTINE_STATUSES), buckets,
+            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets
         )
         passed = upsert(
-            spark, base, S.VALIDATED, accepted(classified), run_id,
-            _tallies(S.ACCEPTED_STATUSES), buckets,
+            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets
         )
     finally:
         if storage is not None:

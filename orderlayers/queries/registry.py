@@ -17,6 +17,8 @@ from orderlayers.operators import (
     accepted,
     audit_rows,
     classify,
+    classify_accepted,
+    classify_quarantined,
     error_rows,
     latest_per_key,
     merge_latest,
@@ -257,13 +259,13 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    incoming = _with_copies(accepted(_classified(spark, sf_dir)))
+    incoming = _with_copies(classify_accepted(enveloped_orders(spark, sf_dir)))
     return _flat(latest_per_key(incoming), "_id", "source_row_number")
 
 
 def upsert_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "layers")
-    kept = accepted(_classified(spark, sf_dir))
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
     upsert(spark, base, S.VALIDATED, _even(kept), "r1")
     upsert(spark, base, S.VALIDATED, _with_copies(kept), "r2")
     return _flat(read_layer(spark, base, S.VALIDATED), "_id", "source_row_number")
@@ -271,14 +273,14 @@ def upsert_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def upsert_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "layers")
-    held = quarantined(_classified(spark, sf_dir))
+    held = classify_quarantined(enveloped_orders(spark, sf_dir))
     upsert(spark, base, S.QUARANTINE, _even(held), "r1")
     upsert(spark, base, S.QUARANTINE, held, "r2")
     return _flat(read_layer(spark, base, S.QUARANTINE), "_id", "source_row_number")
 
 
 def count_upserts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = accepted(_classified(spark, sf_dir))
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
     return upsert_counts(_even(kept).select("_id"), _with_copies(kept))
 
 
@@ -389,7 +391,7 @@ def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def unchanged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an upsert does to each key: insert it, change it, or rewrite it as it was."""
-    kept = accepted(_classified(spark, sf_dir))
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
     merged = merge_latest(_even(kept), latest_per_key(_with_copies(kept)))
     effect = (
         F.when(~F.col("__existed"), "inserted")

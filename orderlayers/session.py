@@ -20,6 +20,9 @@ def build_session(app_name: str = "orderlayers", **conf: str) -> SparkSession:
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.ui.showConsoleProgress": "false",
+        # HotSpot never compiles a method above this size, and interpreting one is slower
+        # than the split-up code Spark generates instead.
+        "spark.sql.codegen.hugeMethodLimit": "8000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

@@ -11,8 +11,7 @@ import uuid
 from collections.abc import Iterator, Mapping
 from contextlib import contextmanager
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 
 from orderlayers import schema as S
 from orderlayers.operators.merge import (
@@ -21,6 +20,7 @@ from orderlayers.operators.merge import (
     merge_counts,
     merge_latest,
 )
+from orderlayers.sources.frames import no_rows
 from orderlayers.sources.publications import (
     current_version,
     new_version,
@@ -47,11 +47,14 @@ def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> Iterator[st
 
 def read_layer(spark: SparkSession, base: str, layer: str) -> DataFrame:
     """Current contents of a layer; a layer never written is empty."""
-    current = current_version(spark, base, layer)
-    if current is None or current["buckets"] == 0:
-        return spark.createDataFrame([], S.LAYER_SCHEMA)
-    path = version_path(base, layer, current["version"])
-    with _bucketed_table(spark, path, current["buckets"]) as name:
+    return _read_version(spark, base, layer, current_version(spark, base, layer))
+
+
+def _read_version(spark: SparkSession, base: str, layer: str, version: Row | None) -> DataFrame:
+    if version is None or version["buckets"] == 0:
+        return no_rows(spark, S.LAYER_SCHEMA)
+    path = version_path(base, layer, version["version"])
+    with _bucketed_table(spark, path, version["buckets"]) as name:
         return spark.table(name)
 
 
@@ -79,9 +82,8 @@ def upsert(
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     buckets = buckets or partitions
     current = current_version(spark, base, layer)
-    merged = merge_latest(
-        read_layer(spark, base, layer), latest_per_key(incoming, tallies), names
-    )
+    existing = _read_version(spark, base, layer, current)
+    merged = merge_latest(existing, latest_per_key(incoming, tallies), names)
     stored = current["buckets"] if current else 0
     if buckets != partitions or stored not in (0, buckets):
         merged = merged.repartition(buckets, "_id")

@@ -9,25 +9,11 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, DataFrameReader, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orderlayers import schema as S
-
-
-def path_exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def read_or_empty(
-    spark: SparkSession, reader: DataFrameReader, form: str, path: str, schema: T.StructType
-) -> DataFrame:
-    """Read ``path``; a path that does not exist is an empty frame, any failure raises."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schema)
-    return reader.schema(schema).format(form).load(path)
+from orderlayers.sources.frames import one_row, read_or_empty
 
 
 def _log_path(base: str, layer: str) -> str:
@@ -55,11 +41,11 @@ def publish(
     spark: SparkSession, base: str, layer: str, version: str, buckets: int, run_id: str | None
 ) -> None:
     current = current_version(spark, base, layer)
-    row = (current["seq"] + 1 if current else 1, version, buckets, run_id)
-    (
-        spark.createDataFrame([row], T.StructType(S.PUBLICATION.fields[:4]))
-        .withColumn("published_at", F.current_timestamp())
-        .coalesce(1)
-        .write.mode("append")
-        .json(_log_path(base, layer))
-    )
+    row = {
+        "seq": current["seq"] + 1 if current else 1,
+        "version": version,
+        "buckets": buckets,
+        "run_id": run_id,
+        "published_at": F.current_timestamp(),
+    }
+    one_row(spark, S.PUBLICATION, row).write.mode("append").json(_log_path(base, layer))

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlayers import schema as S
-from orderlayers.sources.publications import current_version, read_or_empty, version_path
+from orderlayers.sources.frames import read_or_empty
+from orderlayers.sources.publications import current_version, version_path
 
 FIRST_VERSION = "v-first"
 BATCH_LOAD = "batch"

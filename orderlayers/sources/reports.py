@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlayers import schema as S
-from orderlayers.sources.publications import read_or_empty
+from orderlayers.sources.frames import one_row, read_or_empty
 
 _READ = T.StructType([*S.RUN_REPORT.fields, *S.LEGACY_REPORT_FIELDS.fields])
 
@@ -16,20 +16,21 @@ def _reports_path(base: str) -> str:
     return f"{base.rstrip('/')}/run_metrics"
 
 
-def batch_reports_path(base: str) -> str:
+def _batch_reports_path(base: str) -> str:
     return f"{base.rstrip('/')}/batch_metrics"
 
 
 def append_report(spark: SparkSession, base: str, report: dict) -> None:
     """Append one run's report; fields it does not name are NULL."""
-    row = tuple(report.get(name) for name in S.RUN_REPORT.names)
-    (
-        spark.createDataFrame([row], S.RUN_REPORT)
-        .withColumn("finished_at", F.coalesce("finished_at", F.current_timestamp()))
-        .coalesce(1)
-        .write.mode("append")
-        .json(_reports_path(base))
-    )
+    row = one_row(spark, S.RUN_REPORT, {"finished_at": F.current_timestamp(), **report})
+    row.write.mode("append").json(_reports_path(base))
+
+
+def replace_batch_report(spark: SparkSession, base: str, report: dict) -> None:
+    """Write one micro-batch's metrics row, replacing what a lost try left there."""
+    row = one_row(spark, S.BATCH_REPORT, {"finished_at": F.current_timestamp(), **report})
+    folder = f"run-{report['run_id']}/batch-{report['batch_id']}"
+    row.write.mode("overwrite").json(f"{_batch_reports_path(base)}/{folder}")
 
 
 def unify_reports(df: DataFrame) -> DataFrame:
@@ -71,5 +72,5 @@ def latest_report(reports: DataFrame) -> DataFrame:
 def read_batch_reports(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
     """One row per micro-batch of streaming ingest."""
     reader = spark.read.option("recursiveFileLookup", True)
-    rows = read_or_empty(spark, reader, "json", batch_reports_path(base), S.BATCH_REPORT)
+    rows = read_or_empty(spark, reader, "json", _batch_reports_path(base), S.BATCH_REPORT)
     return rows if run_id is None else rows.filter(F.col("run_id") == run_id)

@@ -18,8 +18,8 @@ from orderlayers.sources.order_files import CSV_OPTIONS, conform, header_schema
 from orderlayers.sources.raw_layer import raw_path, replace_stream_load
 from orderlayers.sources.reports import (
     append_report,
-    batch_reports_path,
     read_batch_reports,
+    replace_batch_report,
 )
 
 ENGINE = "pyspark_stream"
@@ -76,16 +76,14 @@ def ingest_stream(
         replace_stream_load(envelope, raw, run_id, batch_id)
         loaded = session.read.parquet(sizes).agg(F.sum("__rows")).first()[0] or 0
         seconds, rate = rates(loaded, time.monotonic() - began)
-        (
-            session.createDataFrame(
-                [(run_id, batch_id, loaded, seconds, rate)],
-                T.StructType(S.BATCH_REPORT.fields[:5]),
-            )
-            .withColumn("finished_at", F.current_timestamp())
-            .coalesce(1)
-            .write.mode("overwrite")
-            .json(f"{batch_reports_path(base)}/run-{run_id}/batch-{batch_id}")
-        )
+        report = {
+            "run_id": run_id,
+            "batch_id": batch_id,
+            "rows": loaded,
+            "seconds": seconds,
+            "rows_per_second": rate,
+        }
+        replace_batch_report(session, base, report)
 
     if by_header:
         options = {"schema": header_schema(spark, directory), "enforceSchema": "false"}
