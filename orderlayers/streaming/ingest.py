@@ -30,7 +30,7 @@ def stream_orders(
     directory: str,
     schema: T.StructType = S.RAW_SCHEMA,
     max_files: int | None = 1,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
     **options: str,
 ) -> DataFrame:
     """New order files of a directory as a stream, a bounded amount per micro-batch."""
@@ -54,7 +54,7 @@ def ingest_stream(
     run_id: str,
     by_header: bool = False,
     max_files: int | None = 1,
-    max_bytes: str | None = None,
+    max_bytes: int | None = None,
 ) -> dict:
     """Take in whatever files the run has not yet seen, then report the run so far.
 
