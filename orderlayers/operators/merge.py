@@ -35,11 +35,8 @@ def latest_per_key(
     return (
         df.groupBy(key)
         .agg(newest, F.count(F.lit(1)).alias("__copies"), *counts)
-        .select(
-            *[F.col(key) if c == key else F.col("__newest")[c].alias(c) for c in df.columns],
-            "__copies",
-            *(tallies or {}),
-        )
+        .select(key, "__newest.*", "__copies", *(tallies or {}))
+        .select(*df.columns, "__copies", *(tallies or {}))
     )
 
 
@@ -56,27 +53,37 @@ def merge_latest(
     each key, so counting needs no join of its own. Both sides hold a key once, so no
     task of the join is larger than its share of keys.
     """
-    columns = [c for c in existing.columns if c != key]
-    old = existing.select(key, F.struct(*columns).alias("__old"))
-    new = latest.select(key, F.struct(*columns).alias("__new"), "__copies", *tallies)
-    arrived = F.col("__new").isNotNull()
-    existed = F.col("__old").isNotNull()
-    same = F.struct(*[F.col("__new")[c] for c in business]).eqNullSafe(
-        F.struct(*[F.col("__old")[c] for c in business])
+    rest = [c for c in existing.columns if c != key and c not in business]
+    old = existing.select(
+        key, F.struct(*business).alias("__old"), F.struct(*rest).alias("__old_rest")
     )
-    return old.join(new, key, "full_outer").select(
-        *[
-            F.col(c)
-            if c == key
-            else F.when(arrived, F.col("__new")[c]).otherwise(F.col("__old")[c]).alias(c)
-            for c in existing.columns
-        ],
-        F.col("__copies"),
-        existed.alias("__existed"),
-        arrived.alias("__arrived"),
-        (arrived & existed & same).alias("__same"),
+    new = latest.select(
+        key,
+        F.struct(*business).alias("__new"),
+        F.struct(*rest).alias("__new_rest"),
+        "__copies",
         *tallies,
     )
+    arrived = F.col("__new").isNotNull()
+    existed = F.col("__old").isNotNull()
+    flags = {
+        "__existed": existed,
+        "__arrived": arrived,
+        "__same": arrived & F.col("__new").eqNullSafe(F.col("__old")),
+    }
+    return (
+        old.join(new, key, "full_outer")
+        .select(
+            key,
+            F.coalesce("__new", "__old").alias("__row"),
+            F.coalesce("__new_rest", "__old_rest").alias("__rest"),
+            "__copies",
+            *[flag.alias(name) for name, flag in flags.items()],
+            *tallies,
+        )
+        .select(key, "__row.*", "__rest.*", "__copies", *flags, *tallies)
+        .select(*existing.columns, "__copies", *flags, *tallies)
+    )
 
 
 def merge_counts(tallies: tuple[str, ...] = ()) -> list[Column]:

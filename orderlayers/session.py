@@ -23,6 +23,8 @@ def build_session(app_name: str = "orderlayers", **conf: str) -> SparkSession:
         # HotSpot never compiles a method above this size, and interpreting one is slower
         # than the split-up code Spark generates instead.
         "spark.sql.codegen.hugeMethodLimit": "8000",
+        # Without call sites on every column expression, wide plans build faster.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
