@@ -212,20 +212,20 @@ def oracle_sql() -> dict[str, str]:
             SELECT stage, run_id,
                    CASE stage WHEN 'ingest' THEN 'pyspark' ELSE 'pyspark_elt' END AS engine_used,
                    rows_read, rows_read AS raw_loaded,
-                   CASE stage WHEN 'elt' THEN valid_count END AS valid_count,
-                   CASE stage WHEN 'elt' THEN corrected_count END AS corrected_count,
-                   CASE stage WHEN 'elt' THEN quarantine_count END AS quarantine_count,
-                   CASE stage WHEN 'elt' THEN null_date_count END AS null_date_count,
-                   CASE WHEN stage != 'elt' THEN NULL WHEN run_id = 'r1'
+                   CASE stage WHEN 'elt' THEN valid_count ELSE 0 END AS valid_count,
+                   CASE stage WHEN 'elt' THEN corrected_count ELSE 0 END AS corrected_count,
+                   CASE stage WHEN 'elt' THEN quarantine_count ELSE 0 END AS quarantine_count,
+                   CASE stage WHEN 'elt' THEN null_date_count ELSE 0 END AS null_date_count,
+                   CASE stage WHEN 'elt' THEN missing_order_id ELSE 0 END AS missing_order_id,
+                   CASE stage WHEN 'elt' THEN missing_customer_id ELSE 0 END AS missing_customer_id,
+                   CASE stage WHEN 'elt' THEN corrupted_items_json ELSE 0 END AS corrupted_items_json,
+                   CASE stage WHEN 'elt' THEN unknown_price ELSE 0 END AS unknown_price,
+                   CASE WHEN stage = 'elt' AND run_id = 'r1'
                      THEN valid_count + corrected_count ELSE 0 END AS inserted_count,
-                   CASE WHEN stage != 'elt' THEN NULL WHEN run_id = 'r2'
+                   CASE WHEN stage = 'elt' AND run_id = 'r2'
                      THEN valid_count + corrected_count ELSE 0 END AS updated_count,
-                   CASE WHEN stage != 'elt' THEN NULL WHEN run_id = 'r2'
-                     THEN valid_count + corrected_count ELSE 0 END AS unchanged_count,
-                   CASE stage WHEN 'elt' THEN missing_order_id END AS missing_order_id,
-                   CASE stage WHEN 'elt' THEN missing_customer_id END AS missing_customer_id,
-                   CASE stage WHEN 'elt' THEN corrupted_items_json END AS corrupted_items_json,
-                   CASE stage WHEN 'elt' THEN unknown_price END AS unknown_price
+                   CASE WHEN stage = 'elt' AND run_id = 'r2'
+                     THEN valid_count + corrected_count ELSE 0 END AS unchanged_count
             FROM runs, counts, reasons""",
         "latest_run": """
             WITH years AS (

@@ -296,16 +296,15 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         "corrupted_items_json": S.CORRUPTED_ITEMS_JSON,
         "unknown_price": S.UNKNOWN_PRICE,
     }
-    in_elt = F.col("stage") == "elt"
+    counts = (
+        "valid_count", "corrected_count", "quarantine_count", "null_date_count",
+        "inserted_count", "updated_count", "unchanged_count",
+    )
     return read_reports(spark, base).select(
         "stage", "run_id", "engine_used", "rows_read", "raw_loaded",
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in counts],
         *[
-            F.when(in_elt, F.col(c)).alias(c)
-            for c in ("valid_count", "corrected_count", "quarantine_count")
-        ],
-        "null_date_count", "inserted_count", "updated_count", "unchanged_count",
-        *[
-            F.when(in_elt, F.coalesce(F.col("error_case_counts")[status], F.lit(0))).alias(name)
+            F.coalesce(F.col("error_case_counts")[status], F.lit(0)).alias(name)
             for name, status in reasons.items()
         ],
     )

@@ -13,6 +13,7 @@ from orderlayers.sources.order_files import (
     read_orders_by_header,
     write_orders_csv,
 )
+from orderlayers.sources.publications import drop_old_versions
 from orderlayers.sources.raw_layer import append_raw, raw_path, read_raw
 from orderlayers.sources.reports import (
     append_report,
@@ -23,7 +24,7 @@ from orderlayers.sources.reports import (
 )
 
 __all__ = [
-    "append_raw", "append_report", "existing_keys", "file_inventory", "latest_report",
+    "append_raw", "append_report", "drop_old_versions", "existing_keys", "file_inventory", "latest_report",
     "preview_layer", "raw_path", "read_batch_reports", "read_layer", "read_orders",
     "read_orders_by_header", "read_raw", "read_reports", "reset_layer", "unify_reports",
     "upsert", "write_orders_csv",

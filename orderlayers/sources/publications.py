@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderlayers import schema as S
-from orderlayers.sources.frames import one_row, read_or_empty
+from orderlayers.sources.frames import one_row, path_exists, read_or_empty
 
 
 def _log_path(base: str, layer: str) -> str:
@@ -49,3 +49,24 @@ def publish(
         "published_at": F.current_timestamp(),
     }
     one_row(spark, S.PUBLICATION, row).write.mode("append").json(_log_path(base, layer))
+
+
+def drop_old_versions(spark: SparkSession, base: str, layer: str, keep: int = 1) -> list[str]:
+    """Delete a layer's data folders but the ``keep`` newest published; return their names.
+
+    Folders of runs that died go too, so no run may be writing the layer meanwhile. A layer
+    that never published anything is left alone.
+    """
+    newest = publications(spark, base, layer).orderBy(F.desc("seq")).limit(max(keep, 1))
+    kept = {row["version"] for row in newest.select("version").collect()}
+    data = f"{base.rstrip('/')}/{layer}/data"
+    if not kept or not path_exists(spark, data):
+        return []
+    folder = spark._jvm.org.apache.hadoop.fs.Path(data)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    dropped = []
+    for entry in files.listStatus(folder):
+        name = entry.getPath().getName()
+        if name not in kept and files.delete(entry.getPath(), True):
+            dropped.append(name)
+    return dropped

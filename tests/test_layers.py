@@ -18,6 +18,7 @@ from orderlayers.queries.dirty_orders import enveloped_orders
 from orderlayers.queries.registry import _even, _order_files, _with_copies
 from orderlayers.sources import (
     append_raw,
+    drop_old_versions,
     existing_keys,
     keyed_layers,
     raw_path,
@@ -247,3 +248,12 @@ def test_preview_and_reset(spark, base, small):
     assert run_elt(spark, base, "r2") is None
     elt_on(spark, base, small)
     assert run_elt(spark, base, "r3")["inserted_count"] == 1351
+
+
+def test_old_versions_go_and_current_stays(spark, base, kept):
+    assert drop_old_versions(spark, base, S.VALIDATED) == []
+    for run in ("r1", "r2", "r3"):
+        upsert(spark, base, S.VALIDATED, kept, run)
+    assert len(drop_old_versions(spark, base, S.VALIDATED, keep=2)) == 1
+    assert len(drop_old_versions(spark, base, S.VALIDATED)) == 1
+    assert read_layer(spark, base, S.VALIDATED).count() == 1351
