@@ -33,6 +33,8 @@ def publications(spark: SparkSession, base: str, layer: str) -> DataFrame:
 
 
 def current_version(spark: SparkSession, base: str, layer: str) -> Row | None:
+    if not path_exists(spark, _log_path(base, layer)):
+        return None
     newest = F.max_by(F.struct("*"), "seq").alias("newest")
     return publications(spark, base, layer).agg(newest).first()["newest"]
 
