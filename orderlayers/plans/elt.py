@@ -55,6 +55,7 @@ def run_elt(
     source = source_summary(raw).first()
     if source["rows_read"] == 0:
         return None
+    read = source["rows_read"]
     if storage is None:
         bad, good = classify_quarantined(raw), classify_accepted(raw)
     else:
@@ -62,17 +63,16 @@ def run_elt(
         bad, good = quarantined(classified), accepted(classified)
     try:
         held = upsert(
-            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets
+            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read
         )
         passed = upsert(
-            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets
+            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read
         )
     finally:
         if storage is not None:
             classified.unpersist()
 
     reasons = {name: held[name] for name in S.QUARANTINE_STATUSES if held[name]}
-    read = source["rows_read"]
     seconds, throughput = rates(read, time.monotonic() - started)
     report = {
         "stage": "elt",

@@ -28,6 +28,9 @@ from orderlayers.sources.publications import (
     version_path,
 )
 
+# Fewer rows than this are not worth a file of their own.
+ROWS_PER_BUCKET = 5_000
+
 
 @contextmanager
 def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> Iterator[str]:
@@ -70,21 +73,27 @@ def upsert(
     run_id: str | None = None,
     tallies: Mapping[str, Column] | None = None,
     buckets: int | None = None,
+    expected_rows: int | None = None,
 ) -> dict[str, int]:
     """Replace the layer's rows by the newest incoming row of each key; return counts.
 
     The counts come out of the write itself, observed after the last shuffle, where a
     task that is run again is not counted again. Nothing is published when no row came in.
-    Keep ``buckets`` equal to the shuffle partition count, which is the default, and
-    neither side of the next merge needs another shuffle.
+    With as many ``buckets`` as shuffle partitions, the default, the next merge shuffles
+    the incoming rows only. ``expected_rows`` keeps a small layer to fewer files; a layer
+    never loses buckets unless told to.
     """
     names = tuple(tallies or ())
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    buckets = buckets or partitions
     current = current_version(spark, base, layer)
+    stored = current["buckets"] if current else 0
+    if buckets is None:
+        fresh = partitions
+        if expected_rows is not None:
+            fresh = min(partitions, -(-expected_rows // ROWS_PER_BUCKET))
+        buckets = max(fresh, stored)
     existing = _read_version(spark, base, layer, current)
     merged = merge_latest(existing, latest_per_key(incoming, tallies), names)
-    stored = current["buckets"] if current else 0
     if buckets != partitions or stored not in (0, buckets):
         merged = merged.repartition(buckets, "_id")
     written = Observation()

@@ -27,6 +27,7 @@ from orderlayers.sources import (
     read_reports,
     upsert,
 )
+from orderlayers.sources.publications import current_version
 
 
 def same(left, right) -> bool:
@@ -257,3 +258,18 @@ def test_old_versions_go_and_current_stays(spark, base, kept):
     assert len(drop_old_versions(spark, base, S.VALIDATED, keep=2)) == 1
     assert len(drop_old_versions(spark, base, S.VALIDATED)) == 1
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
+
+
+def test_bucket_count_follows_size_and_never_shrinks(spark, base, kept, monkeypatch):
+    monkeypatch.setattr(keyed_layers, "ROWS_PER_BUCKET", 500)
+
+    def buckets_after(run, **sizes):
+        upsert(spark, base, S.VALIDATED, kept, run, **sizes)
+        return current_version(spark, base, S.VALIDATED)["buckets"]
+
+    assert buckets_after("r1", expected_rows=1351) == 3
+    assert buckets_after("r2", expected_rows=10) == 3
+    assert buckets_after("r3") == 4
+    assert buckets_after("r4", expected_rows=10**9) == 4
+    assert buckets_after("r5", buckets=2) == 2
+    assert read_layer(spark, base, S.VALIDATED).count() == 1351
