@@ -7,11 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlayers.llm.common import ship_package, table
+from orderlayers.llm import langid
 from orderlayers.llm.minhash import minhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from the documents that are not held out."""
+    docs = table(spark, sf_dir, "documents")
+    held = langid.held_out()
+    model = langid.train_language_model(docs.select("doc_id", "text", "lang").filter(~held))
+    found = langid.predict_languages(docs, model)
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity 0.8: components over all documents."""
     return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80)
@@ -26,7 +36,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op8_minhash,)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op8_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
