@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
+from orderlayers.llm.decontaminate import contaminated
 from orderlayers.llm.minhash import minhash_components
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -22,6 +23,12 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark item, and which."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return contaminated(docs, benchmark).drop("row_key")
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity 0.8: components over all documents."""
     return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80)
@@ -36,7 +43,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op8_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op8_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
