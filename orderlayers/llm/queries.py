@@ -10,6 +10,7 @@ from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
 from orderlayers.llm.decontaminate import contaminated
 from orderlayers.llm.minhash import minhash_components
+from orderlayers.llm.pii import personal_data
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +30,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(docs, benchmark).drop("row_key")
 
 
+def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in every document, fixed patterns and the classifier's."""
+    return personal_data(table(spark, sf_dir, "documents"))
+
+
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity 0.8: components over all documents."""
     return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80)
@@ -43,7 +49,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op8_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op7_personal_data, op8_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
