@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
+from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
@@ -30,6 +32,12 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(docs, benchmark).drop("row_key")
 
 
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
+    docs = table(spark, sf_dir, "documents")
+    return BpeCodec(docs, public_tokenizers.path("word_bpe_49k.json")).digests(docs)
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document, fixed patterns and the classifier's."""
     return personal_data(table(spark, sf_dir, "documents"))
@@ -49,7 +57,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op7_personal_data, op8_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op5_bpe, op7_personal_data, op8_minhash)}
 
 
 def oracle_sql() -> dict[str, str]:
