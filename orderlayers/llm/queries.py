@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
@@ -13,6 +14,7 @@ from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
+from orderlayers.llm.prefix_tokens import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -48,6 +50,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80)
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
+    counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -57,7 +65,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op5_bpe, op7_personal_data, op8_minhash)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
