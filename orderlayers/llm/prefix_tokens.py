@@ -40,6 +40,10 @@ REMEMBERED = 1 << 20
 SPACE = "▁"
 
 
+def _is_word(c: str) -> bool:
+    return c.isalnum() or c == "_"
+
+
 class Pieces:
     """What counting needs of a piece model: the pieces' order of merging."""
 
@@ -59,12 +63,14 @@ class Pieces:
         self.rank = {p.piece: k for k, p in enumerate(order)}
         self.longest = max(map(len, self.rank))
         # Letters and digits that some piece ties to a following sign.
-        tied = {a for p in self.rank for a, b in zip(p, p[1:]) if a.isalnum() and not b.isalnum()}
-        tied = re.escape("".join(sorted(tied)))
-        sign = f"(?:[^\\w{SPACE}\n]|[_{tied}])"
-        letter = f"[^\\W_{tied}]"
-        #: White space, signs, letters: a unit ends where a letter or digit is followed by a sign.
+        self.tied = "".join(sorted({a for p in self.rank for a, b in zip(p, p[1:]) if _is_word(a) and not _is_word(b)}))
+        # White space, signs, letters: a unit ends where a letter or digit is followed by a sign.
+        sign, letter = f"[^\\w{SPACE}\n]", "\\w"
         self.units = f"{SPACE}+{sign}*{letter}*|{sign}+{letter}*|{letter}+|\n"
+        if self.tied:
+            tied = re.escape(self.tied)
+            sign, letter = f"(?:{sign}|[{tied}])", f"[^\\W{tied}]"
+        self.tied_units = f"{SPACE}+{sign}*{letter}*|{sign}+{letter}*|{letter}+|\n"
 
     def merge(self, text: str) -> list[str]:
         """The tokenizer's pieces of ``text``, best pair first, the leftmost of equal ones."""
@@ -104,7 +110,12 @@ class PrefixCounter:
         self.apart: dict[tuple[str, str], bool] = {}
         self.totals: dict[str, int] = {}
         self.prefixes: dict[str, list[int]] = {}
-        self.units = re.compile(pieces.units).findall
+        self._units = re.compile(pieces.units).findall
+        self._tied_units = re.compile(pieces.tied_units).findall
+
+    def units(self, text: str) -> list[str]:
+        text = SPACE + text.replace(" ", SPACE)
+        return (self._tied_units if any(c in text for c in self.pieces.tied) else self._units)(text)
 
     def _stays_apart(self, left: str, right: str) -> bool:
         known = self.pieces.merge(left + right) == [left, right]
@@ -153,7 +164,7 @@ class PrefixCounter:
         totals = self.totals
         if len(totals) > REMEMBERED:
             totals.clear()
-        units = self.units(SPACE + text.replace(" ", SPACE))
+        units = self.units(text)
         counts = list(map(totals.get, units))
         if None in counts:
             for k, count in enumerate(counts):
@@ -169,7 +180,7 @@ class PrefixCounter:
         if len(self.prefixes) > REMEMBERED // 8:
             self.prefixes.clear()
         parts, base = [], 0
-        for unit in self.units(SPACE + text.replace(" ", SPACE)):
+        for unit in self.units(text):
             known = self.prefixes.get(unit)
             if known is None:
                 known = self.prefixes[unit] = self.unit(unit)
