@@ -12,6 +12,7 @@ from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
 from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
+from orderlayers.llm.license_scan import license_scan
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
 from orderlayers.llm.prefix_tokens import token_counts
@@ -34,6 +35,11 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(docs, benchmark).drop("row_key")
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and passages in every document."""
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded text of every document, as digests."""
     docs = table(spark, sf_dir, "documents")
@@ -65,7 +71,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op4_license_scan, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
