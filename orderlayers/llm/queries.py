@@ -12,6 +12,7 @@ from orderlayers.llm.common import ship_package, table
 from orderlayers.llm import langid
 from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
+from orderlayers.llm.embedding_dedup import embedding_components
 from orderlayers.llm.license_scan import license_scan
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
@@ -20,6 +21,11 @@ from orderlayers.llm.prefix_tokens import token_counts
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of embeddings of one label at cosine 0.93 and more, and their components."""
+    return embedding_components(table(spark, sf_dir, "embeddings"), least=0.93)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document, learned from the documents that are not held out."""
     docs = table(spark, sf_dir, "documents")
@@ -71,7 +77,7 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op2_language_id, op3_decontamination, op4_license_scan, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
+QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op1_embedding_dedup, op2_language_id, op3_decontamination, op4_license_scan, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
 
 
 def oracle_sql() -> dict[str, str]:
