@@ -44,8 +44,17 @@ CANDIDATES = {
     "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])",
     "name": r"(?<![A-Za-z])(?:Mr|Mrs|Ms|Dr|Prof)\.? [A-Z][a-z]++(?: [A-Z][a-z]++)?",
 }
-#: A cheap necessary condition for each candidate pattern.
-NEEDS = {"secret": "[A-Za-z0-9_/+-]{16}", "name": "(?:Mr|Mrs|Ms|Dr|Prof)[. ]"}
+#: Cheap necessary conditions of each pattern, tried in order on the whole text.
+NEEDS = {
+    "ip": ["[0-9]\\.[0-9]"],
+    "card": ["[0-9]", CARD],
+    "secret": ["[0-9]", "[A-Za-z0-9_/+-]{16}"],
+    "local_phone": ["[0-9]{3}[ .-][0-9]{4}"],
+    "ssn": ["[0-9]-[0-9]{2}-[0-9]"],
+    "iban": ["[A-Z]{2}[0-9]{2}"],
+}
+#: Strings of which each text with a titled name holds one.
+TITLES = ("Mr", "Ms", "Dr", "Prof")
 #: Words whose presence shortly before a candidate speaks for its kind.
 GAZETTEER = {
     "secret": "token|key|secret|password|passwd|pwd|auth|bearer|credential",
@@ -72,27 +81,46 @@ def _text() -> Column:
     return F.coalesce(F.col("text").cast("string"), F.lit(""))
 
 
-def _walk(text: Column, pattern: str, condition: Column) -> Column:
-    """Matches of ``pattern`` in order: array of (start, end, match, before, after)."""
+def _needs(text: Column, kind: str) -> Column:
+    if kind == "email":
+        return F.contains(text, F.lit("@"))
+    if kind == "phone":
+        return F.contains(text, F.lit("+"))
+    if kind == "name":
+        return reduce(lambda a, b: a | b, (F.contains(text, F.lit(t)) for t in TITLES))
+    return reduce(lambda a, b: a & b, (text.rlike(p) for p in NEEDS[kind]))
+
+
+def _walk(text: Column, pattern: str, condition: Column, context: bool = False) -> Column:
+    """Matches of ``pattern`` in order: array of (start, end, match, before, after).
+
+    What stands before and after is cut to what labelers look at, and only filled on request.
+    """
     kind = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     pieces = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    # One piece more than matches: the last has none.
+    around = F.zip_with(pieces, matches, lambda p, m: F.struct(p.alias("gap"), m.alias("match")))
+    if context:
+        nexts = F.transform(F.slice(pieces, 2, 1 << 30), lambda p: F.substring(p, 1, 2))
+        around = F.zip_with(
+            around, nexts, lambda x, n: F.struct(x["gap"].alias("gap"), x["match"].alias("match"), n.alias("after"))
+        )
     state = f"struct<at:int,spans:{kind}>"
-    around = F.zip_with(
-        F.zip_with(F.slice(pieces, 1, F.size(matches)), matches, lambda p, m: F.struct(p.alias("gap"), m.alias("match"))),
-        F.slice(pieces, 2, F.size(matches)),
-        lambda x, after: F.struct(x["gap"].alias("gap"), x["match"].alias("match"), F.substring(after, 1, 2).alias("after")),
-    )
     start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("spans")).cast(state)
 
     def step(acc, x):
         begin = acc["at"] + F.length(x["gap"])
         end = begin + F.length(x["match"])
         span = F.struct(
-            begin.alias("start"), end.alias("end"), x["match"].alias("match"),
-            F.right(x["gap"], F.lit(CONTEXT)).alias("before"), x["after"].alias("after"),
+            begin.alias("start"),
+            end.alias("end"),
+            x["match"].alias("match"),
+            (F.right(x["gap"], F.lit(CONTEXT)) if context else F.lit("")).alias("before"),
+            (x["after"] if context else F.lit("")).alias("after"),
         )
-        return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")).cast(state)
+        grown = F.struct(end.alias("at"), F.concat(acc["spans"], F.array(span)).alias("spans")).cast(state)
+        return F.when(x["match"].isNull(), acc).otherwise(grown)
 
     found = F.aggregate(around, start, step, lambda acc: acc["spans"])
     return F.when(condition, found).otherwise(F.array().cast(kind))
@@ -124,13 +152,13 @@ def _base(text: Column) -> dict[str, Column]:
     card = lambda s: F.translate(s["match"], " -", "")
     phone = lambda s: F.length(F.translate(s["match"], "+ ().-", ""))
     return {
-        "email": _walk(text, EMAIL, F.contains(text, F.lit("@"))),
-        "ip": F.filter(_walk(text, IP, text.rlike(IP)), lambda s: _small_octets(s["match"])),
+        "email": _walk(text, EMAIL, _needs(text, "email")),
+        "ip": F.filter(_walk(text, IP, _needs(text, "ip")), lambda s: _small_octets(s["match"])),
         "card": F.filter(
-            _walk(text, CARD, text.rlike(CARD)),
+            _walk(text, CARD, _needs(text, "card")),
             lambda s: F.when(F.length(card(s)).between(14, 19), _luhn(card(s))).otherwise(False),
         ),
-        "phone": F.filter(_walk(text, PHONE, F.contains(text, F.lit("+"))), lambda s: phone(s).between(10, 15)),
+        "phone": F.filter(_walk(text, PHONE, _needs(text, "phone")), lambda s: phone(s).between(10, 15)),
     }
 
 
@@ -158,9 +186,8 @@ def _votes(kind: str, s: Column) -> list[Column]:
 def _candidates(text: Column) -> Column:
     """All candidates: array of (start, end, kind, votes, size class)."""
     def of(kind: str) -> Column:
-        pattern = CANDIDATES[kind]
         return F.transform(
-            _walk(text, pattern, text.rlike(NEEDS.get(kind, pattern))),
+            _walk(text, CANDIDATES[kind], _needs(text, kind), context=True),
             lambda s: F.struct(
                 s["start"].alias("start"),
                 s["end"].alias("end"),
@@ -173,22 +200,28 @@ def _candidates(text: Column) -> Column:
     return F.concat(*map(of, CANDIDATES))
 
 
-def _apart(candidates: Column, base: dict[str, Column]) -> Column:
-    """Candidates that overlap no base span."""
-    taken = F.concat(*(F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end"))) for x in base.values()))
-    return F.filter(
-        candidates,
-        lambda c: ~F.exists(taken, lambda s: (c["start"] < s["end"]) & (s["start"] < c["end"])),
-    )
-
-
 def vote_patterns(docs: DataFrame) -> DataFrame:
-    """(kind, votes, long, n): how often candidates of all documents got which votes."""
-    text = _text()
-    found = docs.select(_candidates(text).alias("found"), text.alias("text")).filter(F.size("found") > 0)
-    apart = found.select(_apart(F.col("found"), _base(F.col("text"))).alias("found"))
+    """(kind, votes, long, n): how often candidates of all documents got which votes.
+
+    Candidates that overlap a base span have no vote. Each step uses what the one before made
+    more than once, so that Spark computes it once and not once for every use.
+    """
+    empty = F.array().cast("array<struct<start:int,end:int>>")
+    step = docs.select(_candidates(_text()).alias("found"), _text().alias("text"))
+    base = F.concat(
+        *(
+            F.transform(x, lambda s: F.struct(s["start"].alias("start"), s["end"].alias("end")))
+            for x in _base(F.col("text")).values()
+        )
+    )
+    step = step.select("found", F.when(F.size("found") > 0, base).otherwise(empty).alias("taken"))
+    apart = F.filter(
+        "found", lambda c: ~F.exists("taken", lambda s: (c["start"] < s["end"]) & (s["start"] < c["end"]))
+    )
+    apart = F.when(F.size("taken") == 0, F.col("found")).otherwise(apart)
     return (
-        apart.select(F.explode("found").alias("c"))
+        step.select(F.explode_outer(apart).alias("c"))
+        .filter("c.kind is not null")
         .groupBy("c.kind", "c.votes", "c.long")
         .agg(F.count(F.lit(1)).alias("n"))
     )
