@@ -17,6 +17,7 @@ from orderlayers.llm.license_scan import license_scan
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
 from orderlayers.llm.prefix_tokens import token_counts
+from orderlayers.llm.quality import grade_documents, train_grade_model
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -68,6 +69,12 @@ def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
 
 
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected grade and tail probabilities of every document, learned from all ratings."""
+    docs = table(spark, sf_dir, "documents")
+    return grade_documents(docs, train_grade_model(docs, table(spark, sf_dir, "labels")))
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -77,7 +84,20 @@ def _ready(query: Query) -> Query:
     return run
 
 
-QUERIES: dict[str, Query] = {f.__name__: _ready(f) for f in (op1_embedding_dedup, op2_language_id, op3_decontamination, op4_license_scan, op5_bpe, op7_personal_data, op8_minhash, op9_token_counts)}
+QUERIES: dict[str, Query] = {
+    f.__name__: _ready(f)
+    for f in (
+        op1_embedding_dedup,
+        op2_language_id,
+        op3_decontamination,
+        op4_license_scan,
+        op5_bpe,
+        op7_personal_data,
+        op8_minhash,
+        op9_token_counts,
+        op10_quality,
+    )
+}
 
 
 def oracle_sql() -> dict[str, str]:
