@@ -14,6 +14,7 @@ from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
 from orderlayers.llm.embedding_dedup import embedding_components
 from orderlayers.llm.license_scan import license_scan
+from orderlayers.llm.maxent_lm import MaxentScorer, in_training
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
 from orderlayers.llm.prefix_tokens import token_counts
@@ -53,6 +54,14 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BpeCodec(docs, public_tokenizers.path("word_bpe_49k.json")).digests(docs)
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Smoothed counts' and the model's log10 probability of every document."""
+    docs = table(spark, sf_dir, "documents")
+    found = MaxentScorer(docs.select("doc_id", "text").filter(in_training())).score(docs)
+    columns = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
+    return found.select("doc_id", (~in_training()).alias("held_out"), *columns)
+
+
 def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Spans of personal data in every document, fixed patterns and the classifier's."""
     return personal_data(table(spark, sf_dir, "documents"))
@@ -92,6 +101,7 @@ QUERIES: dict[str, Query] = {
         op3_decontamination,
         op4_license_scan,
         op5_bpe,
+        op6_lm_scoring,
         op7_personal_data,
         op8_minhash,
         op9_token_counts,
