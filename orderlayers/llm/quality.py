@@ -35,8 +35,10 @@ GRADES = 3
 #: taken by a hash of their id whose share is set by the grade's count.
 SAMPLE_PER_GRADE = 5000
 #: Features kept, and how many documents of the sample must share one.
-FEATURES, LEAST_DOCUMENTS = 1 << 16, 4
-STEPS, RIDGE = 400, 4e-4
+FEATURES, LEAST_DOCUMENTS = 1 << 16, 8
+STEPS = 150
+#: Inverse variance of the weights' prior: the fewer documents, the closer weights stay to 0.
+PRIOR = 2.0
 #: Documents with at least this probability of the best grade are kept.
 ACCEPT = 0.5
 
@@ -158,7 +160,7 @@ def train_grade_model(docs: DataFrame, labels: DataFrame, seed: int = 11) -> Gra
 
 
 def _fit(grade: np.ndarray, owner: np.ndarray, hashed: np.ndarray, counts: np.ndarray) -> GradeModel:
-    """Gradient descent with per-weight steps on the cumulative-link log loss.
+    """Least cumulative-link log loss.
 
     Sampled grades weigh what all ratings of the grade weigh, so probabilities fit all ratings.
     """
@@ -169,30 +171,59 @@ def _fit(grade: np.ndarray, owner: np.ndarray, hashed: np.ndarray, counts: np.nd
     number[common] = np.arange(len(common))
     feature = number[inverse]
     owner, feature = owner[feature >= 0], feature[feature >= 0]
-    weights, bends = np.zeros(len(common)), np.array([-1.0, 0.0])
     importance = (counts / np.bincount(grade, minlength=GRADES).clip(1))[grade]
     importance /= importance.sum()
-    speed, bend_speed = np.full(len(common), 1e-8), np.full(2, 1e-8)
-    for _ in range(STEPS):
-        cuts = np.array([bends[0], bends[0] + np.exp(bends[1])])
+    rows = np.arange(len(grade))
+
+    def loss(at: np.ndarray) -> tuple[float, np.ndarray]:
+        """Loss and its slope by weights, first threshold and log of the gap to the second."""
+        weights, low_cut, gap = at[:-2], at[-2], np.exp(at[-1])
         score = np.bincount(owner, weights=weights[feature], minlength=len(grade))
-        below = _logistic(np.stack([cuts[0] - score, cuts[1] - score], axis=1))
-        low = np.where(grade == 0, 0.0, below[np.arange(len(grade)), np.maximum(grade - 1, 0)])
-        high = np.where(grade == GRADES - 1, 1.0, below[np.arange(len(grade)), np.minimum(grade, GRADES - 2)])
-        chance = np.maximum(high - low, 1e-9)
-        slope_high, slope_low = high * (1 - high), low * (1 - low)
-        by_score = importance * (slope_high - slope_low) / chance
-        slope = np.bincount(feature, weights=by_score[owner], minlength=len(common)) + RIDGE * weights
-        cut_slope = np.zeros(2)
-        for k in range(2):
-            cut_slope[k] -= (importance * slope_high / chance)[grade == k].sum()
-            cut_slope[k] += (importance * slope_low / chance)[grade == k + 1].sum()
-        bend_slope = np.array([cut_slope.sum(), cut_slope[1] * np.exp(bends[1])])
-        speed += slope * slope
-        bend_speed += bend_slope * bend_slope
-        weights -= 0.1 * slope / np.sqrt(speed)
-        bends -= 0.1 * bend_slope / np.sqrt(bend_speed)
-    return GradeModel(kinds[common], weights, np.array([bends[0], bends[0] + np.exp(bends[1])]))
+        below = _logistic(np.stack([low_cut - score, low_cut + gap - score], axis=1))
+        low = np.where(grade == 0, 0.0, below[rows, np.maximum(grade - 1, 0)])
+        high = np.where(grade == GRADES - 1, 1.0, below[rows, np.minimum(grade, GRADES - 2)])
+        chance = np.maximum(high - low, 1e-12)
+        by_high, by_low = importance * high * (1 - high) / chance, importance * low * (1 - low) / chance
+        by_weight = np.bincount(feature, weights=(by_high - by_low)[owner], minlength=len(weights))
+        by_cut = [by_low[grade == k + 1].sum() - by_high[grade == k].sum() for k in range(GRADES - 1)]
+        ridge = PRIOR / len(grade)
+        value = -(importance * np.log(chance)).sum() + ridge / 2 * weights @ weights
+        return value, np.concatenate([by_weight + ridge * weights, [sum(by_cut), by_cut[1] * gap]])
+
+    best = _minimum(loss, np.append(np.zeros(len(common)), [-1.0, 0.0]))
+    return GradeModel(kinds[common], best[:-2], np.array([best[-2], best[-2] + np.exp(best[-1])]))
+
+
+def _minimum(loss, at: np.ndarray, memory: int = 10) -> np.ndarray:
+    """Limited-memory quasi-Newton descent with backtracking."""
+    value, slope = loss(at)
+    moves: list[tuple[np.ndarray, np.ndarray, float]] = []
+    for _ in range(STEPS):
+        direction, shares = -slope, []
+        for move, bend, scale in reversed(moves):
+            shares.append(scale * (move @ direction))
+            direction = direction - shares[-1] * bend
+        if moves:
+            move, bend, scale = moves[-1]
+            direction = direction / (scale * (bend @ bend))
+        for (move, bend, scale), share in zip(moves, reversed(shares), strict=True):
+            direction = direction + (share - scale * (bend @ direction)) * move
+        length, expected = 1.0 if moves else 1.0 / max(np.abs(slope).sum(), 1e-12), slope @ direction
+        for _ in range(30):
+            new_value, new_slope = loss(at + length * direction)
+            if new_value <= value + 1e-4 * length * expected:
+                break
+            length /= 2
+        else:
+            break
+        move, bend = length * direction, new_slope - slope
+        if move @ bend > 1e-16:
+            moves = [*moves[1 - memory :], (move, bend, 1 / (move @ bend))]
+        done = value - new_value < 1e-7 * max(abs(value), 1e-3)
+        at, value, slope = at + move, new_value, new_slope
+        if done:
+            break
+    return at
 
 
 def _score_batches(model):
