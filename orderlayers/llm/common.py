@@ -67,6 +67,29 @@ def crc_of_id(column) -> F.Column:
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary"))
 
 
+def bit_filter(frame: DataFrame, column: str, bits: int) -> np.ndarray:
+    """Bits set at the low ``bits`` bits of all of a column of hashes, as 32-bit numbers.
+
+    Spark packs them, so at most 2 ** (bits - 5) rows come to the driver, however many hashes.
+    """
+    packed = (
+        frame.selectExpr(f"`{column}` & {(1 << bits) - 1} AS slot")
+        .selectExpr("shiftright(slot, 5) AS word", "shiftleft(1L, CAST(slot & 31 AS INT)) AS bit")
+        .groupBy("word")
+        .agg(F.bit_or("bit").alias("bits"))
+        .toArrow()
+    )
+    found = np.zeros(1 << (bits - 5), np.uint32)
+    found[packed["word"].to_numpy()] = packed["bits"].to_numpy().astype(np.uint32)
+    return found
+
+
+def in_filter(found: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Whether the bit of each (unsigned) hash is set."""
+    slot = (hashes & np.uint64(32 * len(found) - 1)).astype(np.int64)
+    return ((found[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1)).astype(bool)
+
+
 def text_column(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and row offsets of a string column; a NULL is an empty text."""
     if column.null_count:
@@ -182,6 +205,18 @@ def gram_hashes(words: np.ndarray, first_word: np.ndarray, n: int):
     return total[index + np.repeat(first_word[:-1], counts)], marks
 
 
-def id_and_text(docs: DataFrame) -> DataFrame:
-    """The two columns the operators read, whatever else the table holds."""
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+def id_and_text(docs: DataFrame, *more: str) -> DataFrame:
+    """The columns the operators read, whatever else the table holds."""
+    known = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")]
+    return docs.select(*known, *more)
+
+
+def row_key() -> F.Column:
+    """A row's document whatever its id: equal for rows that repeat both id and text."""
+    return F.xxhash64(F.col("doc_id"), F.col("text"))
+
+
+def drop_rows(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose ``row_key`` is not among ``keys``, columns as they were."""
+    gone = keys.select(F.col(key).alias("__gone"))
+    return docs.join(gone, row_key() == F.col("__gone"), "left_anti")

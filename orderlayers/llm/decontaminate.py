@@ -27,7 +27,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlayers.llm.common import ALNUM, mix, stored, text_slices, word_bounds, word_hashes
+from orderlayers.llm.common import (
+    ALNUM,
+    bit_filter,
+    drop_rows,
+    in_filter,
+    mix,
+    stored,
+    text_slices,
+    word_bounds,
+    word_hashes,
+)
 
 #: Fixed masks of weight four. Together they hit each run of twelve words of which every fourth
 #: was replaced, and most others with three replaced.
@@ -101,23 +111,6 @@ def item_seeds(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def _filter_of(seeds: DataFrame) -> np.ndarray:
-    """Bits set at the low bits of all hashes; packed by Spark into words of 32 bits.
-
-    At most 2 ** (FILTER_BITS - 5) rows come to the driver, however many hashes there are.
-    """
-    packed = (
-        seeds.selectExpr(f"seed & {(1 << FILTER_BITS) - 1} AS slot")
-        .selectExpr("shiftright(slot, 5) AS word", "shiftleft(1L, CAST(slot & 31 AS INT)) AS bit")
-        .groupBy("word")
-        .agg(F.bit_or("bit").alias("bits"))
-        .toArrow()
-    )
-    bits = np.zeros(1 << (FILTER_BITS - 5), np.uint32)
-    bits[packed["word"].to_numpy()] = packed["bits"].to_numpy().astype(np.uint32)
-    return bits
-
-
 def _hit_batches(bits):
     reach = WINDOW + _LONGEST
 
@@ -133,8 +126,7 @@ def _hit_batches(bits):
                     hashed = seed_hashes(words, m)
                     if not len(hashed):
                         continue
-                    slot = (hashed & np.uint64((1 << FILTER_BITS) - 1)).astype(np.int64)
-                    at = np.flatnonzero((table[slot >> 5] >> (slot & 31).astype(np.uint32)) & np.uint32(1))
+                    at = np.flatnonzero(in_filter(table, hashed))
                     at = at[row_of[at] == row_of[at + len(mask) - 1]]
                     found.append(at)
                     seeds.append(hashed[at])
@@ -212,7 +204,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text), the row whatever its id.
     """
     seeds = stored(item_seeds(benchmark), "decontaminate-seeds")
-    bits = docs.sparkSession.sparkContext.broadcast(_filter_of(seeds))
+    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(seeds, "seed", FILTER_BITS))
     hits = stored(
         _lowered(docs, "doc_id").mapInArrow(
             _hit_batches(bits),
@@ -249,7 +241,5 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs`` that no item contaminates, with their columns as they were."""
-    found = overlaps(docs, benchmark).select(F.col("row_key").alias("__row_key")).distinct()
-    found = stored(found, "decontaminate-found")
-    own = F.xxhash64(F.col("doc_id"), F.col("text"))
-    return docs.join(found, own == F.col("__row_key"), "left_anti")
+    found = stored(overlaps(docs, benchmark).select("row_key").distinct(), "decontaminate-found")
+    return drop_rows(docs, found, "row_key")

@@ -69,7 +69,7 @@ def op7_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two-word shingles, similarity 0.8: components over all documents."""
-    return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80)
+    return minhash_components(table(spark, sf_dir, "documents"), n=2, percent=80).drop("row_key")
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
