@@ -35,9 +35,10 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlayers.llm.common import id_and_text, slices, text_column
+from orderlayers.llm.common import id_and_text, slices, stored, text_column
 
-#: Words compiled into the transducer, and words a worker remembers besides.
+#: Words with at least 1 / FREQUENT of all words are compiled into the transducer, so there can be
+#: no more than FREQUENT; and words that a worker remembers besides.
 FREQUENT, REMEMBERED = 1 << 16, 1 << 18
 #: Longer words are merged, never compiled.
 LONGEST_COMPILED = 64
@@ -328,8 +329,10 @@ class BpeCodec:
         words = docs.select(F.explode(F.split(lower, r"[^\p{L}]+")).alias("word")).filter(
             F.length("word").between(1, LONGEST_COMPILED)
         )
-        top = words.groupBy("word").count().orderBy(F.desc("count"), "word").limit(frequent)
-        chosen = sorted({w.encode()[:LONGEST_COMPILED] for (w,) in top.select("word").collect()})
+        counts = stored(words.groupBy("word").agg(F.count(F.lit(1)).alias("n")), "bpe-words")
+        total = counts.agg(F.sum("n")).first()[0] or 0
+        chosen = [r["word"].encode() for r in counts.filter(F.col("n") * frequent >= total).select("word").collect()]
+        chosen = sorted(w for w in chosen if len(w) <= LONGEST_COMPILED)
         flat, marks = vocabulary.merge(chosen)
         lexicon = compile_lexicon(chosen, np.split(flat, marks[1:-1]) if chosen else [])
         folder = tempfile.mkdtemp(prefix="orderlayers-lexicon-")
