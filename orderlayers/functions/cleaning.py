@@ -23,7 +23,7 @@ DATE_FORMAT = "yyyy-MM-dd HH:mm:ss"
 # Texts that no replacement would change, or that cannot be dates.
 ALL_NUMERIC = r"^[\d\.-]*\z"
 ASCII_WHITESPACE = " \t\n\x0b\f\r"
-STARTS_WITH_YEAR = r"^\s*\d{4}"
+STARTS_WITH_YEAR = r"^[\x00-\x20]*[+-]?\d{4}"
 
 # Most fields are clean already. Each repair therefore looks first, with a test far
 # cheaper than a replacement, and touches only text the replacement would change.

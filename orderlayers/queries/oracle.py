@@ -10,6 +10,9 @@ from orderlayers.queries.dirty_orders import (
     SOURCE_FILE,
 )
 
+# As in the query: the size, in MB, up to which a file counts as small.
+INVENTORY_MB = 0.03
+
 _FIELDS = ", ".join(S.ORDER_FIELDS)
 _UNTOUCHED = ", ".join(f for f in S.ORDER_FIELDS if f not in S.REPAIRED_FIELDS)
 _FROM_FILE = ", ".join(f"nullif({f}, '') AS {f}" for f in S.ORDER_FIELDS)
@@ -129,7 +132,7 @@ _SUMMARY = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL per query name. ``file_inventory`` has none: it lists files, not tables."""
+    """SQL per query name."""
     return {
         "classify_orders": f"{_DONE} SELECT {_FIELDS}, rule_codes, record_status FROM done",
         "status_counts": f"{_DONE} {_SUMMARY}",
@@ -188,16 +191,37 @@ def oracle_sql() -> dict[str, str]:
         "rule_codes, record_status, n AS source_row_number FROM newest",
         "upsert_validated": f"{_UPSERT_INPUT}, {_NEWEST} SELECT order_id AS _id, {_FIELDS}, "
         "rule_codes, record_status, n AS source_row_number FROM newest",
-        "upsert_quarantine": f"{_DONE}, held AS (SELECT {_QUARANTINE_KEY} AS _id, *, "
-        f"k + 1 AS n FROM done WHERE {_HELD}) "
-        f"SELECT _id, {_FIELDS}, rule_codes, record_status, n AS source_row_number FROM held "
-        "QUALIFY row_number() OVER (PARTITION BY _id ORDER BY n DESC) = 1",
+        "upsert_quarantine": f"""{_DONE}, held AS (
+              SELECT {_QUARANTINE_KEY} AS _id, * REPLACE (
+                       CASE WHEN k % 3 = 0 THEN 'CITY-3' ELSE 'CITY-2' END AS city),
+                     k + 1 + CASE WHEN k % 3 = 0 THEN 1000000000000 ELSE 0 END AS n
+              FROM done WHERE {_HELD})
+            SELECT _id, {_FIELDS}, rule_codes, record_status, n AS source_row_number FROM held
+            QUALIFY row_number() OVER (PARTITION BY _id ORDER BY n DESC) = 1""",
         "upsert_counts": f"""{_UPSERT_INPUT}
             SELECT count(*) FILTER (k % 2 != 0) AS inserted_count,
                    count(*) FILTER (k % 2 = 0) AS updated_count,
                    count(DISTINCT order_id) FILTER (k % 2 != 0) AS inserted_keys,
                    count(DISTINCT order_id) FILTER (k % 2 = 0) AS updated_keys
             FROM incoming""",
+        "stored_key_counts": f"""{_UPSERT_INPUT}
+            SELECT count(*) FILTER (k % 2 != 0) AS inserted_count,
+                   count(*) FILTER (k % 2 = 0) AS updated_count,
+                   count(DISTINCT order_id) FILTER (k % 2 != 0) AS inserted_keys,
+                   count(DISTINCT order_id) FILTER (k % 2 = 0) AS updated_keys
+            FROM incoming""",
+        "file_inventory": f"""
+            SELECT least(o_orderkey % 16, 4) AS part,
+                   cast(sum(length(o_orderkey::VARCHAR) + length(o_orderstatus) + 2) AS BIGINT) AS length,
+                   CASE WHEN sum(length(o_orderkey::VARCHAR) + length(o_orderstatus) + 2)
+                     <= {INVENTORY_MB} * 1048576 THEN 'python_batch' ELSE 'pyspark' END AS engine
+            FROM orders GROUP BY 1""",
+        "empty_upsert": f"""{_DONE}
+            SELECT 'orders_validated' AS layer, 0::BIGINT AS keys, count(*) AS held_rows
+            FROM done WHERE {_ACCEPTED}
+            UNION ALL SELECT 'orders_quarantine', 0, 0""",
+        "read_some_runs": f"""{_DIRTY} SELECT 'r2' AS run_id, k + 1 AS source_row_number, order_id
+            FROM dirty""",
         "run_metrics": f"""{_FILE}, {_chain('filed')}, counts AS ({_SUMMARY}),
             reasons AS (
               SELECT count(*) FILTER (record_status LIKE '%: MISSING_ORDER_ID') AS missing_order_id,

@@ -48,6 +48,7 @@ from orderlayers.queries.dirty_orders import (
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources import (
     append_raw,
+    existing_keys,
     file_inventory,
     latest_report,
     raw_path,
@@ -66,6 +67,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 LATER = 1_000_000_000_000
 
+# Between the sizes of the small files and the large one at a hundredth of the full scale.
+INVENTORY_MB = 0.03
+
 
 def _flat(df: DataFrame, *lead: str) -> DataFrame:
     """Order fields, the applied rules as text, and the status: no nested column."""
@@ -253,9 +257,15 @@ def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows stored by streaming ingest, and rows its batch metrics account for."""
     base = scratch_path(spark, "layers")
     ingest_stream(spark, _order_files(spark, sf_dir), base, "s1", max_files=2)
-    stored = read_raw(spark, base).agg(F.count(F.lit(1)).alias("row_count"))
-    batches = read_batch_reports(spark, base).agg(F.sum("rows").alias("rows_in_batches"))
-    return stored.join(F.broadcast(batches), F.lit(True))
+    stored = read_raw(spark, base).agg(
+        F.count(F.lit(1)).alias("stored"), F.lit(0).cast("long").alias("told")
+    )
+    batches = read_batch_reports(spark, base).agg(
+        F.lit(0).cast("long").alias("stored"), F.sum("rows").alias("told")
+    )
+    return stored.union(batches).agg(
+        F.sum("stored").alias("row_count"), F.sum("told").alias("rows_in_batches")
+    )
 
 
 def latest_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,7 +285,13 @@ def upsert_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "layers")
     held = classify_quarantined(enveloped_orders(spark, sf_dir))
     upsert(spark, base, S.QUARANTINE, _even(held), "r1")
-    upsert(spark, base, S.QUARANTINE, held, "r2")
+    # Every row changes, and every third one comes once more, later and changed again: rows
+    # without order id then share their key with rows of their own customer and date.
+    again = held.filter(_k() % 3 == 0).withColumns(
+        {"city": F.lit("CITY-3"), "source_row_number": F.col("source_row_number") + LATER}
+    )
+    changed = held.withColumn("city", F.lit("CITY-2")).unionByName(again)
+    upsert(spark, base, S.QUARANTINE, changed, "r2")
     return _flat(read_layer(spark, base, S.QUARANTINE), "_id", "source_row_number")
 
 
@@ -385,7 +401,49 @@ def layer_reset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_inventory(spark, sf_dir).select("file_name", "length", "size_mb", "engine")
+    """All orders as lines of five files, the last much larger, by size and engine."""
+    path = scratch_path(spark, "inventory")
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet")
+    part = F.least(F.col("o_orderkey") % 16, F.lit(4))
+    line = F.concat_ws(",", F.col("o_orderkey").cast("string"), "o_orderstatus")
+    lines = orders.select(part.alias("part"), line.alias("value")).repartition(5, "part")
+    lines.write.partitionBy("part").text(path)
+    number = F.regexp_extract("path", "part=([0-9]+)", 1).cast("long").alias("part")
+    return file_inventory(spark, f"{path}/part=*", INVENTORY_MB).select(number, "length", "engine")
+
+
+def empty_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Upserts of no row into a filled and into a new layer: keys told, rows held."""
+    base = scratch_path(spark, "layers")
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
+    upsert(spark, base, S.VALIDATED, kept, "r1")
+    none = kept.filter(F.col("order_id").isNull())
+    rows = []
+    for layer in (S.VALIDATED, S.QUARANTINE):
+        told = upsert(spark, base, layer, none, "r2")["incoming_keys"]
+        held = read_layer(spark, base, layer).agg(F.count(F.lit(1)).alias("held_rows"))
+        rows.append(
+            held.select(F.lit(layer).alias("layer"), F.lit(told).cast("long").alias("keys"), "held_rows")
+        )
+    return rows[0].union(rows[1])
+
+
+def stored_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inserts and updates counted against the keys of a stored layer."""
+    base = scratch_path(spark, "layers")
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
+    upsert(spark, base, S.VALIDATED, _even(kept), "r1")
+    return upsert_counts(existing_keys(spark, base, S.VALIDATED), _with_copies(kept))
+
+
+def read_some_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of two of three runs, one of which never came."""
+    base = scratch_path(spark, "layers")
+    for run_id in ("r1", "r2"):
+        append_raw(
+            enveloped_orders(spark, sf_dir).withColumn("run_id", F.lit(run_id)), raw_path(spark, base)
+        )
+    return unpack(read_raw(spark, base, ["r2", "r3"])).select("run_id", "source_row_number", "order_id")
 
 
 def unchanged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -446,6 +504,9 @@ QUERIES: dict[str, Query] = {
     "layer_preview": layer_preview,
     "layer_reset": layer_reset,
     "file_inventory": list_files,
+    "empty_upsert": empty_upsert,
+    "stored_key_counts": stored_key_counts,
+    "read_some_runs": read_some_runs,
     "unchanged_rows": unchanged_rows,
     "currency_standard": currency_standard,
     "item_totals": item_totals,

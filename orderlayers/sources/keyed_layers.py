@@ -28,8 +28,30 @@ from orderlayers.sources.publications import (
     version_path,
 )
 
-# Fewer rows than this are not worth a file of their own.
-ROWS_PER_BUCKET = 5_000
+# A layer gets a bucket for this many rows, a few hundred MB, however many that makes (Spark
+# itself allows spark.sql.sources.bucketing.maxBuckets, 100,000 unless raised).
+ROWS_PER_BUCKET = 1_000_000
+# A small layer gets as many buckets as there are shuffle partitions, to use all cores, but
+# none for fewer rows than this.
+LEAST_ROWS = 5_000
+
+
+def bucket_count(rows: int | None, partitions: int, stored: int = 0) -> int:
+    """Buckets for a layer that grows by ``rows``; it never loses buckets."""
+    if rows is None:
+        return max(partitions, stored)
+    return max(-(-rows // ROWS_PER_BUCKET), min(partitions, -(-rows // LEAST_ROWS)), stored, 1)
+
+
+@contextmanager
+def _shuffle_partitions(spark: SparkSession, number: int) -> Iterator[None]:
+    """Shuffle to ``number`` partitions inside the block."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", number)
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 @contextmanager
@@ -78,33 +100,38 @@ def upsert(
     """Replace the layer's rows by the newest incoming row of each key; return counts.
 
     The counts come out of the write itself, observed after the last shuffle, where a
-    task that is run again is not counted again. Nothing is published when no row came in.
-    With as many ``buckets`` as shuffle partitions, the default, the next merge shuffles
-    the incoming rows only. ``expected_rows`` keeps a small layer to fewer files; a layer
-    never loses buckets unless told to.
+    task that is run again is not counted again. Where no row comes in, nothing is written.
+    The merge shuffles to as many partitions as there are buckets, so the stored layer stays
+    where it is and only the incoming rows move, once; a change of ``buckets`` moves the layer
+    too. Without ``buckets``, ``bucket_count`` sets them by ``expected_rows``.
     """
     names = tuple(tallies or ())
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     current = current_version(spark, base, layer)
-    stored = current["buckets"] if current else 0
     if buckets is None:
-        fresh = partitions
-        if expected_rows is not None:
-            fresh = min(partitions, -(-expected_rows // ROWS_PER_BUCKET))
-        buckets = max(fresh, stored)
+        buckets = bucket_count(expected_rows, partitions, current["buckets"] if current else 0)
     existing = _read_version(spark, base, layer, current)
+    if incoming.isEmpty():
+        return _nothing_came(existing, names)
     merged = merge_latest(existing, latest_per_key(incoming, tallies), names)
-    if buckets != partitions or stored not in (0, buckets):
-        merged = merged.repartition(buckets, "_id")
     written = Observation()
     rows = merged.observe(written, *merge_counts(names)).drop(*MERGE_FLAGS, *names)
     version = new_version()
-    with _bucketed_table(spark, version_path(base, layer, version), buckets) as name:
+    with (
+        _bucketed_table(spark, version_path(base, layer, version), buckets) as name,
+        _shuffle_partitions(spark, buckets),
+    ):
         rows.write.insertInto(name)
-    counts = written.get
-    if counts["incoming_keys"]:
-        publish(spark, base, layer, version, buckets, run_id)
-    return counts
+    publish(spark, base, layer, version, buckets, run_id)
+    return written.get
+
+
+def _nothing_came(existing: DataFrame, names: tuple[str, ...]) -> dict[str, int]:
+    """The counts of an upsert of no rows."""
+    counts = dict.fromkeys(
+        ("inserted_count", "updated_count", "inserted_keys", "updated_keys", "unchanged_count", "incoming_keys"), 0
+    )
+    return {**counts, "layer_rows": existing.count(), **dict.fromkeys(names, 0)}
 
 
 def reset_layer(spark: SparkSession, base: str, layer: str) -> None:

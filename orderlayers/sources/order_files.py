@@ -23,7 +23,7 @@ CSV_WRITE_OPTIONS = {
 
 def read_orders(
     spark: SparkSession,
-    path: str,
+    path: str | list[str],
     schema: T.StructType = S.RAW_SCHEMA,
     multi_line: bool = False,
     **options: str,

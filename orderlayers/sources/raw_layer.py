@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlayers import schema as S
-from orderlayers.sources.frames import read_or_empty
+from orderlayers.sources.frames import no_rows, path_exists, read_or_empty
 from orderlayers.sources.publications import current_version, version_path
 
 FIRST_VERSION = "v-first"
@@ -52,9 +52,18 @@ def replace_stream_load(envelope: DataFrame, path: str, run_id: str, batch_id: i
 def read_raw(
     spark: SparkSession, base: str, run_ids: Collection[str] | None = None
 ) -> DataFrame:
-    """All raw rows, or those of some runs (their folders alone are listed and read)."""
+    """All raw rows, or those of some runs: their folders alone are listed and read.
+
+    A run that has no folder has no rows.
+    """
     path = raw_path(spark, base)
-    rows = read_or_empty(spark, spark.read, "parquet", path, _STORED)
-    if run_ids is not None:
-        rows = rows.filter(F.col("run_id").isin(*run_ids))
+    if run_ids is None:
+        rows = read_or_empty(spark, spark.read, "parquet", path, _STORED)
+    else:
+        folders = [f"{path}/run_id={run_id}" for run_id in dict.fromkeys(run_ids)]
+        folders = [folder for folder in folders if path_exists(spark, folder)]
+        if folders:
+            rows = spark.read.schema(_STORED).option("basePath", path).parquet(*folders)
+        else:
+            rows = no_rows(spark, _STORED)
     return rows.select(*S.RAW_ENVELOPE.names)

@@ -51,14 +51,14 @@ def unify_reports(df: DataFrame) -> DataFrame:
 
 
 def read_reports(spark: SparkSession, base: str) -> DataFrame:
-    """All reports of the table under ``base``; none yet is an empty frame."""
-    reader = spark.read.option("mode", "DROPMALFORMED")
+    """All reports of the table under ``base``; none yet is an empty frame, a damaged one raises."""
+    reader = spark.read.option("mode", "FAILFAST")
     return unify_reports(read_or_empty(spark, reader, "json", _reports_path(base), _READ))
 
 
 def read_report_file(spark: SparkSession, path: str) -> DataFrame:
     """Reports from a JSON document holding a list of them, or a single one."""
-    reader = spark.read.schema(_READ).option("multiLine", True)
+    reader = spark.read.schema(_READ).option("multiLine", True).option("mode", "FAILFAST")
     return unify_reports(reader.json(path))
 
 
@@ -71,6 +71,6 @@ def latest_report(reports: DataFrame) -> DataFrame:
 
 def read_batch_reports(spark: SparkSession, base: str, run_id: str | None = None) -> DataFrame:
     """One row per micro-batch of streaming ingest."""
-    reader = spark.read.option("recursiveFileLookup", True)
+    reader = spark.read.option("recursiveFileLookup", True).option("mode", "FAILFAST")
     rows = read_or_empty(spark, reader, "json", _batch_reports_path(base), S.BATCH_REPORT)
     return rows if run_id is None else rows.filter(F.col("run_id") == run_id)

@@ -24,21 +24,24 @@ from orderlayers.sources.reports import (
 
 ENGINE = "pyspark_stream"
 
+# Input of one micro-batch, unless a number of files bounds it.
+BATCH_BYTES = 1 << 30
+
 
 def stream_orders(
     spark: SparkSession,
     directory: str,
     schema: T.StructType = S.RAW_SCHEMA,
-    max_files: int | None = 1,
-    max_bytes: int | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = BATCH_BYTES,
     **options: str,
 ) -> DataFrame:
     """New order files of a directory as a stream, a bounded amount per micro-batch."""
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, **options)
-    if max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    elif max_files is not None:
+    if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    elif max_bytes is not None:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.csv(directory).select(
         "*",
         F.col("_metadata.file_path").alias("__path"),
@@ -53,8 +56,8 @@ def ingest_stream(
     base: str,
     run_id: str,
     by_header: bool = False,
-    max_files: int | None = 1,
-    max_bytes: int | None = None,
+    max_files: int | None = None,
+    max_bytes: int | None = BATCH_BYTES,
 ) -> dict:
     """Take in whatever files the run has not yet seen, then report the run so far.
 
@@ -115,7 +118,7 @@ def ingest_stream(
         "raw_loaded": totals["rows"],
         "elapsed_seconds": seconds,
         "throughput": throughput,
-        "batch_size": max_files if max_bytes is None else None,
+        "batch_size": max_files,
         "batches": totals["batches"],
     }
     append_report(spark, base, report)

@@ -34,6 +34,8 @@ AMOUNTS = {
 }
 
 DATES = {
+    "+2024-01-01": "2024-01-01 00:00:00",
+    "\x012024-01-02": "2024-01-02 00:00:00",
     "2024-01-15": "2024-01-15 00:00:00",
     "2024-1-5": "2024-01-05 00:00:00",
     "2024": "2024-01-01 00:00:00",

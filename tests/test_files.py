@@ -4,8 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from orderlayers import schema as S
-from orderlayers.operators import classify, number_rows, numbering, with_positions
-from orderlayers.plans import sample_rows, write_sample
+from orderlayers.operators import classify, number_rows, with_positions
+from orderlayers.plans import sample, sample_rows, write_sample
 from orderlayers.queries.dirty_orders import keyed_dirty_orders
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources import (
@@ -109,9 +109,7 @@ def many_splits(spark):
     spark.conf.set("spark.sql.files.maxPartitionBytes", before)
 
 
-@pytest.mark.parametrize("broadcast_splits", [numbering.BROADCAST_SPLITS, 0])
-def test_numbers_per_file(spark, numbered_files, many_splits, monkeypatch, broadcast_splits):
-    monkeypatch.setattr(numbering, "BROADCAST_SPLITS", broadcast_splits)
+def test_numbers_per_file(spark, numbered_files, many_splits):
     path, lengths = numbered_files
     scan = read_orders(spark, path)
     assert scan.rdd.getNumPartitions() > 20
@@ -151,7 +149,22 @@ def test_numbering_moves_no_rows(spark, numbered_files):
     path, _ = numbered_files
     rows = number_rows(with_positions(read_orders(spark, path)), scratch_path(spark, "sizes"))
     plan = rows._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+    above = plan[: plan.index("FileScan csv")]
+    assert "BroadcastHashJoin" in above and "SortMergeJoin" not in plan
+    assert "Exchange hashpartitioning" not in above and "Exchange rangepartitioning" not in above
+
+
+def test_sample_reads_only_the_files_it_needs(spark, numbered_files, monkeypatch):
+    path, _ = numbered_files
+    read = []
+
+    def spied(session, paths, *args, **kwargs):
+        read.append([p.rsplit("/", 1)[-1] for p in paths])
+        return read_orders(session, paths, *args, **kwargs)
+
+    monkeypatch.setattr(sample, "read_orders", spied)
+    assert sample_rows(spark, path, 400).count() == 400
+    assert read == [["a.csv"], ["a.csv"]]
 
 
 def test_inventory(spark, tmp_path):

@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+import os
+import re
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -68,12 +71,30 @@ def test_bucket_counts_may_change(spark, base, kept, buckets):
     assert same(read_layer(spark, base, S.VALIDATED), kept.select(*S.LAYER_SCHEMA.names))
 
 
-def test_merge_shuffles_the_incoming_side_only(spark, base, kept):
-    upsert(spark, base, S.VALIDATED, kept, "r1")
-    existing = read_layer(spark, base, S.VALIDATED).select("_id", "city")
-    merged = existing.join(latest_per_key(kept).select("_id", "status"), "_id", "full_outer")
-    plan = merged._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan and plan.count("hashpartitioning") == 1
+@pytest.mark.parametrize("buckets", [3, 4, 8])
+def test_upsert_shuffles_the_incoming_rows_once(spark, base, kept, monkeypatch, buckets):
+    """The plan that the write runs, with fewer, as many and more buckets than partitions."""
+    upsert(spark, base, S.VALIDATED, kept, "r1", buckets=buckets)
+    plans = []
+    write = type(kept).write
+
+    def spied(frame):
+        plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return write.fget(frame)
+
+    monkeypatch.setattr(type(kept), "write", property(spied))
+    upsert(spark, base, S.VALIDATED, kept, "r2", buckets=buckets)
+    [plan] = [p for p in plans if "FullOuter" in p]
+    assert "Bucketed: true" in plan
+    assert plan.count("Exchange hashpartitioning") == 1
+    assert f"Exchange hashpartitioning(_id, {buckets})" in re.sub(r"#\d+L?", "", plan)
+
+
+def test_bucket_count_has_no_upper_bound_of_its_own():
+    count = keyed_layers.bucket_count
+    assert count(None, 8) == 8 and count(1, 8) == 1 and count(12_000, 8) == 3
+    assert count(150_000, 8) == 8 and count(20_000_000_000, 200) == 20_000
+    assert count(1, 8, stored=5) == 5
 
 
 def test_unpublished_version_is_never_seen(spark, base, kept, monkeypatch):
@@ -99,6 +120,7 @@ def test_nothing_incoming_publishes_nothing(spark, base, kept):
     upsert(spark, base, S.VALIDATED, kept, "r2")
     counts = upsert(spark, base, S.VALIDATED, kept.filter("city = 'nowhere'"), "r3")
     assert counts["incoming_keys"] == 0 and counts["layer_rows"] == 1351
+    assert len(os.listdir(f"{base}/{S.VALIDATED}/data")) == 1
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
 
 
@@ -214,8 +236,9 @@ def test_ingest_elt_and_run_filter(spark, base, small):
     assert read_raw(spark, base).count() == 3000
     only = read_raw(spark, base, ["r2"])
     assert only.count() == 1500 == only.select("source_row_number").distinct().count()
-    plan = only._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(run_id" in plan
+    assert only.inputFiles() and all("/run_id=r2/" in file for file in only.inputFiles())
+    assert read_raw(spark, base, ["r0"]).count() == 0
+    assert read_raw(spark, base, ["r0", "r2", "r2"]).count() == 1500
     third = run_elt(spark, base, "r3", run_ids=["r2"])
     assert third["rows_read"] == 1500 and third["unchanged_count"] == 1385
     assert read_reports(spark, base).count() == 4
@@ -261,7 +284,7 @@ def test_old_versions_go_and_current_stays(spark, base, kept):
 
 
 def test_bucket_count_follows_size_and_never_shrinks(spark, base, kept, monkeypatch):
-    monkeypatch.setattr(keyed_layers, "ROWS_PER_BUCKET", 500)
+    monkeypatch.setattr(keyed_layers, "LEAST_ROWS", 500)
 
     def buckets_after(run, **sizes):
         upsert(spark, base, S.VALIDATED, kept, run, **sizes)
@@ -270,6 +293,6 @@ def test_bucket_count_follows_size_and_never_shrinks(spark, base, kept, monkeypa
     assert buckets_after("r1", expected_rows=1351) == 3
     assert buckets_after("r2", expected_rows=10) == 3
     assert buckets_after("r3") == 4
-    assert buckets_after("r4", expected_rows=10**9) == 4
+    assert buckets_after("r4", expected_rows=10**5) == 4
     assert buckets_after("r5", buckets=2) == 2
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
