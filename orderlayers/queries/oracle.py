@@ -181,6 +181,10 @@ def oracle_sql() -> dict[str, str]:
         "FROM filed",
         "row_numbers": f"{_FILE} SELECT row_number() OVER (ORDER BY k) AS source_row_number, "
         f"{_FIELDS} FROM filed",
+        "blank_lines": f"{_FILE} SELECT row_number() OVER (ORDER BY k) AS source_row_number, "
+        f"{_FIELDS} FROM filed",
+        "kept_classification": f"{_DONE} SELECT order_id AS _id, {_FIELDS}, rule_codes, "
+        f"record_status FROM done WHERE {_ACCEPTED}",
         "row_number_totals": f"{_FILE} SELECT count(*) AS row_count, 0::BIGINT AS bad_files "
         "FROM filed",
         "stream_ingest": f"{_FILE} SELECT 's1' AS run_id, 'pyspark_stream' AS engine_used, "
@@ -231,6 +235,10 @@ def oracle_sql() -> dict[str, str]:
                        AS corrupted_items_json,
                      count(*) FILTER (record_status LIKE '%: UNKNOWN_PRICE') AS unknown_price
               FROM done),
+            keys AS (
+              SELECT count(DISTINCT order_id) FILTER ({_ACCEPTED}) AS kept_keys,
+                     count(DISTINCT {_QUARANTINE_KEY}) FILTER ({_HELD}) AS held_keys
+              FROM done),
             runs AS (SELECT * FROM (VALUES ('ingest', 'r1'), ('elt', 'r1'), ('elt', 'r2'))
                      AS t(stage, run_id))
             SELECT stage, run_id,
@@ -249,8 +257,13 @@ def oracle_sql() -> dict[str, str]:
                    CASE WHEN stage = 'elt' AND run_id = 'r2'
                      THEN valid_count + corrected_count ELSE 0 END AS updated_count,
                    CASE WHEN stage = 'elt' AND run_id = 'r2'
-                     THEN valid_count + corrected_count ELSE 0 END AS unchanged_count
-            FROM runs, counts, reasons""",
+                     THEN valid_count + corrected_count ELSE 0 END AS unchanged_count,
+                   CASE WHEN stage = 'elt' AND run_id = 'r1' THEN kept_keys ELSE 0 END AS inserted_keys,
+                   CASE WHEN stage = 'elt' AND run_id = 'r2' THEN kept_keys ELSE 0 END AS updated_keys,
+                   CASE stage WHEN 'elt' THEN held_keys ELSE 0 END AS quarantine_keys,
+                   4::BIGINT AS source_file_count, true AS first_file_named,
+                   true AS enough_partitions, true AS rate_adds_up
+            FROM runs, counts, reasons, keys""",
         "latest_run": """
             WITH years AS (
               SELECT year(o_orderdate) AS y, count(*) AS rows_read,

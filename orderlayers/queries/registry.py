@@ -10,6 +10,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.storagelevel import StorageLevel
 
 from orderlayers import functions as fn
 from orderlayers import schema as S
@@ -220,6 +221,28 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(read_raw(spark, base)).select("run_id", "engine_used", *S.ORDER_FIELDS)
 
 
+def blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order files with an empty line after each line, read and numbered."""
+    path = scratch_path(spark, "blank-lines")
+    files = spark.read.option("wholetext", True).text(_order_files(spark, sf_dir))
+    files.select(
+        F.replace("value", F.lit("\n"), F.lit("\n\n")).alias("value"),
+        F.regexp_extract("_metadata.file_name", "^part-([0-9]+)", 1).alias("part"),
+    ).write.partitionBy("part").text(path)
+    with pinned_splits(spark):
+        rows = with_positions(read_orders(spark, f"{path}/part=*"))
+        numbered = number_rows(rows, scratch_path(spark, "split-sizes"), per_file=False)
+    return numbered.select("source_row_number", *S.ORDER_FIELDS)
+
+
+def kept_classification(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validated layer of an ELT run that keeps the classified rows for both layers."""
+    base = scratch_path(spark, "layers")
+    append_raw(enveloped_orders(spark, sf_dir), raw_path(spark, base))
+    run_elt(spark, base, "r1", storage=StorageLevel.MEMORY_AND_DISK)
+    return _flat(read_layer(spark, base, S.VALIDATED), "_id")
+
+
 def row_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Numbers running through all files, checked against the key order."""
     with pinned_splits(spark):
@@ -323,6 +346,19 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.coalesce(F.col("error_case_counts")[status], F.lit(0)).alias(name)
             for name, status in reasons.items()
         ],
+        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("inserted_keys", "updated_keys", "quarantine_keys")],
+        "source_file_count",
+        F.col("file_name").rlike(r"^part-00000-.*\.csv$").alias("first_file_named"),
+        (F.coalesce("input_partitions", "source_file_count") >= F.col("source_file_count")).alias(
+            "enough_partitions"
+        ),
+        # Seconds are told in hundredths, so the rate lies between those of either rounding.
+        F.col("throughput")
+        .between(
+            F.col("rows_read") / (F.col("elapsed_seconds") + 0.006) - 0.01,
+            F.col("rows_read") / (F.col("elapsed_seconds") - 0.006) + 0.01,
+        )
+        .alias("rate_adds_up"),
     )
 
 
@@ -490,6 +526,8 @@ QUERIES: dict[str, Query] = {
     "header_repair": header_repair,
     "envelope_roundtrip": envelope_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "blank_lines": blank_lines,
+    "kept_classification": kept_classification,
     "row_numbers": row_numbers,
     "row_number_totals": row_number_totals,
     "stream_ingest": stream_rows,
