@@ -65,7 +65,7 @@ GAZETTEER = {
 }
 #: The shape that a true span of a kind has.
 SHAPES = {
-    "secret": "^(?=.*[0-9].*[0-9])(?=.*[A-Za-z])[A-Za-z0-9_/+=-]{16,256}$",
+    "secret": "^(?=(?:[^0-9]*[0-9]){4})(?=.*[A-Za-z])[A-Za-z0-9_/+=-]{16,256}$",
     "local_phone": r"^\(?[2-9]",
     "ssn": "^(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)",
     "iban": r"^[A-Z]{2}(?!0[01])[0-9]{2}[A-Z0-9 ]{11,}$",

@@ -34,7 +34,8 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = langid.held_out()
     model = langid.train_language_model(docs.select("doc_id", "text", "lang").filter(~held))
     found = langid.predict_languages(docs, model)
-    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "rejected")
+    kept = (~F.col("rejected")).alias("kept")
+    return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", kept)
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

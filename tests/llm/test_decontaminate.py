@@ -22,7 +22,7 @@ def noise(n, seed):
 
 def test_whole_items_and_replaced_words_are_found_and_noise_is_not(docs, benchmark):
     items = {x["item_id"]: x["text"] for x in benchmark.collect()}
-    rows = [(100 + k, f"{noise(50, k)} {items[k]} {noise(50, 9)}") for k in range(5)]
+    rows = [(100 + k, f"{noise(50, 70 + k)} {items[k]} {noise(50, 90)}") for k in range(5)]
     for k in (0, 1):
         words = items[k].upper().split()
         for at in range(3, len(words), 5):
