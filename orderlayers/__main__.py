@@ -6,7 +6,10 @@ import argparse
 import json
 import time
 
+from pyspark.storagelevel import StorageLevel
+
 from orderlayers import plans, sources, streaming
+from orderlayers import schema as S
 from orderlayers.plans.sample import SAMPLE_ROWS
 from orderlayers.session import build_session
 
@@ -29,9 +32,15 @@ def _parser() -> argparse.ArgumentParser:
         sub = command(name, text, "path", "base")
         sub.add_argument("--run-id")
         sub.add_argument("--by-header", action="store_true")
+        if name == "ingest":
+            sub.add_argument("--gaps", action="store_true", help="unique row numbers, one scan")
+            sub.add_argument("--multi-line", action="store_true", help="fields may span lines")
     elt = command("elt", "raw layer to validated and quarantine layers", "base")
     elt.add_argument("--run-id")
     elt.add_argument("--only-runs", nargs="+")
+    elt.add_argument("--keep", action="store_true", help="keep classified rows for both layers")
+    drop = command("drop-old", "delete layer versions no reader needs", "base")
+    drop.add_argument("--keep", type=int, default=1, help="versions that stay")
     sample = command("sample", "first rows of a file as a smaller one", "path", "output")
     sample.add_argument("--rows", type=int, default=SAMPLE_ROWS)
     command("inventory", "files, sizes and ingest mode", "path")
@@ -49,11 +58,19 @@ def main(arguments: list[str] | None = None) -> None:
         options = {"by_header": args.by_header}
         result = plans.load_orders(spark, args.path, args.base, run_id, **options)
     elif args.command == "ingest":
-        result = plans.ingest_files(spark, args.path, args.base, run_id, args.by_header)
+        result = plans.ingest_files(
+            spark, args.path, args.base, run_id, args.by_header, not args.gaps, args.multi_line
+        )
     elif args.command == "stream":
         result = streaming.ingest_stream(spark, args.path, args.base, run_id, args.by_header)
     elif args.command == "elt":
-        result = plans.run_elt(spark, args.base, run_id, args.only_runs)
+        storage = StorageLevel.MEMORY_AND_DISK if args.keep else None
+        result = plans.run_elt(spark, args.base, run_id, args.only_runs, storage)
+    elif args.command == "drop-old":
+        result = {
+            layer: sources.drop_old_versions(spark, args.base, layer, args.keep)
+            for layer in (S.VALIDATED, S.QUARANTINE)
+        }
     elif args.command == "sample":
         result = plans.write_sample(spark, args.path, args.output, args.rows)
     elif args.command == "reset":

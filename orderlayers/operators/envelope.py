@@ -18,7 +18,11 @@ def pack(
     fields: tuple[str, ...] = S.ORDER_FIELDS,
     ingested_at: Column | None = None,
 ) -> DataFrame:
-    """Every input field into one struct, beside the run's metadata."""
+    """Every input field into one struct, beside the run's metadata.
+
+    A column ``extra`` of the input, fields beyond the known ones, is kept as it is.
+    """
+    extra = F.col(S.EXTRA.name) if S.EXTRA.name in df.columns else F.lit(None)
     return df.select(
         F.lit(run_id).alias("run_id"),
         source_file.alias("source_file"),
@@ -26,6 +30,7 @@ def pack(
         (F.current_timestamp() if ingested_at is None else ingested_at).alias("ingested_at"),
         F.lit(engine_used).alias("engine_used"),
         F.struct(*[named(field) for field in fields]).alias("raw_record"),
+        extra.cast(S.EXTRA.dataType).alias(S.EXTRA.name),
     )
 
 

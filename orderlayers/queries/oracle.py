@@ -181,6 +181,8 @@ def oracle_sql() -> dict[str, str]:
         "FROM filed",
         "row_numbers": f"{_FILE} SELECT row_number() OVER (ORDER BY k) AS source_row_number, "
         f"{_FIELDS} FROM filed",
+        "header_columns": f"{_FILE} SELECT k::VARCHAR AS note, k::VARCHAR || 'x' AS shop_id, "
+        f"{_FIELDS} FROM filed",
         "blank_lines": f"{_FILE} SELECT row_number() OVER (ORDER BY k) AS source_row_number, "
         f"{_FIELDS} FROM filed",
         "kept_classification": f"{_DONE} SELECT order_id AS _id, {_FIELDS}, rule_codes, "

@@ -221,6 +221,19 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(read_raw(spark, base)).select("run_id", "engine_used", *S.ORDER_FIELDS)
 
 
+def header_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files with their columns in another order and two no order field, ingested by header."""
+    path, base = scratch_path(spark, "order-files"), scratch_path(spark, "layers")
+    rows = keyed_dirty_orders(spark, sf_dir)
+    turned = [F.col(f) for f in reversed(S.ORDER_FIELDS)]
+    key = F.col("k").cast("string")
+    write_orders_csv(rows.select(key.alias("note"), *turned, F.concat(key, F.lit("x")).alias("shop id")), path)
+    ingest_files(spark, path, base, "r1", by_header=True)
+    stored = read_raw(spark, base)
+    extra = [F.col("extra")["note"].alias("note"), F.col("extra")["shop id"].alias("shop_id")]
+    return stored.select(*extra, *[F.col(f"raw_record.{f}").alias(f) for f in S.ORDER_FIELDS])
+
+
 def blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order files with an empty line after each line, read and numbered."""
     path = scratch_path(spark, "blank-lines")
@@ -526,6 +539,7 @@ QUERIES: dict[str, Query] = {
     "header_repair": header_repair,
     "envelope_roundtrip": envelope_roundtrip,
     "csv_roundtrip": csv_roundtrip,
+    "header_columns": header_columns,
     "blank_lines": blank_lines,
     "kept_classification": kept_classification,
     "row_numbers": row_numbers,

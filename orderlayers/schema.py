@@ -55,7 +55,10 @@ _ENVELOPE = [
     T.StructField("engine_used", T.StringType()),
 ]
 
-RAW_ENVELOPE = T.StructType([*_ENVELOPE, T.StructField("raw_record", RAW_SCHEMA)])
+# Fields that a header names beyond the known ones, by name; NULL where there are none.
+EXTRA = T.StructField("extra", T.MapType(T.StringType(), T.StringType()))
+
+RAW_ENVELOPE = T.StructType([*_ENVELOPE, T.StructField("raw_record", RAW_SCHEMA), EXTRA])
 
 CORRECTION = T.StructType(
     _strings(["field", "original_value", "corrected_value", "rule_code"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlayers import schema as S
-from orderlayers.operators.headers import repair_headers
+from orderlayers.operators.headers import named, repair_headers
 
 # Doubled quotes inside a quoted field are one quote; the default backslash escape would
 # cut such a field at its first comma.
@@ -58,16 +58,17 @@ def read_orders_by_header(spark: SparkSession, path: str, multi_line: bool = Fal
 
 
 def conform(df: DataFrame, *extras: str) -> DataFrame:
-    """The declared fields, by repaired name: missing ones NULL, unknown ones an error."""
+    """The declared fields, by repaired name, missing ones NULL; others in the map ``extra``."""
     rows = repair_headers(df)
     unknown = [c for c in rows.columns if c not in S.ORDER_FIELDS and c not in extras]
-    if unknown:
-        raise ValueError(f"columns that are no order field: {unknown}")
+    pairs = [part for name in unknown for part in (F.lit(name), named(name).cast("string"))]
+    extra = F.create_map(*pairs) if pairs else F.lit(None)
     return rows.select(
         *[
             F.col(field) if field in rows.columns else F.lit(None).cast("string").alias(field)
             for field in S.ORDER_FIELDS
         ],
+        extra.cast(S.EXTRA.dataType).alias(S.EXTRA.name),
         *extras,
     )
 

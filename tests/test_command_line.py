@@ -14,6 +14,12 @@ def test_commands(spark, small, base, tmp_path, capsys):
     assert ingested["rows_read"] == elt["rows_read"] == 1500
     main(["elt", base, "--run-id", "r2", "--only-runs", "r1"])
     assert json.loads(capsys.readouterr().out)["inserted_count"] == 0
+    main(["elt", base, "--run-id", "r3", "--keep"])
+    assert json.loads(capsys.readouterr().out)["unchanged_count"] == 1385
+    main(["drop-old", base])
+    assert {layer: len(names) for layer, names in json.loads(capsys.readouterr().out).items()} == {
+        "orders_validated": 2, "orders_quarantine": 2,
+    }
     main(["report", base])
     assert "pyspark_elt" in capsys.readouterr().out
     main(["preview", base])

@@ -42,11 +42,11 @@ def test_later_files_only_are_taken(spark, base, files, tmp_path):
     arriving.mkdir()
     parts = sorted(Path(files).glob("*.csv"))
     shutil.copy(parts[0], arriving)
-    first = ingest_stream(spark, str(arriving), base, "r1")
+    first = ingest_stream(spark, str(arriving), base, "r1", max_files=1)
     for part in parts[1:]:
         shutil.copy(part, arriving)
     both = ingest_stream(spark, str(arriving), base, "r1", max_bytes=2**30)
-    again = ingest_stream(spark, str(arriving), base, "r1")
+    again = ingest_stream(spark, str(arriving), base, "r1", max_files=1)
     assert 0 < first["rows_read"] < both["rows_read"] == again["rows_read"] == 1500
     assert (first["batches"], both["batches"], again["batches"]) == (1, 2, 2)
     assert read_raw(spark, base).count() == 1500
@@ -67,8 +67,8 @@ def test_resumed_run_loads_nothing_twice(spark, base, files, monkeypatch, dies_i
     with monkeypatch.context() as patch:
         patch.setattr(ingest, dies_in, dying)
         with pytest.raises(Exception, match="lost"):
-            ingest_stream(spark, files, base, "r1")
-    report = ingest_stream(spark, files, base, "r1")
+            ingest_stream(spark, files, base, "r1", max_files=1)
+    report = ingest_stream(spark, files, base, "r1", max_files=1)
     assert report["rows_read"] == 1500 and report["batches"] == 5
     ingest_files(spark, files, f"{base}/b", "r1")
     assert same(rows(spark, base), rows(spark, f"{base}/b"))
