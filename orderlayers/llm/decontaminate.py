@@ -2,7 +2,7 @@
 
 A seed is a fixed mask over consecutive words: the hash of the words at its 1s, whatever stands
 at its 0s. Words are runs of ASCII letters, ASCII digits and anything beyond ASCII, lower-cased.
-All seeds of all items are the test table. Each document's seeds are looked up in a filter of
+All seeds of all items are the test table. Each document's seeds are looked up in filters of
 fixed size, made of the test table's hashes; those that may be in the table are joined to it on
 their hash. Around each joined hit, document and item are compared word by word on the hit's
 diagonal, so replaced words are tolerated and inserted ones end an overlap.
@@ -43,7 +43,8 @@ from orderlayers.llm.common import (
 #: was replaced, and most others with three replaced.
 MASKS = ("1111", "11011", "1010011", "1100101")
 WINDOW, MATCHED, SHORT = 12, 9, 8
-#: Bits of the filter, whatever the number of hashes: 1 MB. A full filter costs time, not results.
+#: Bits of each of two filters, by the low and the high half of the hashes, whatever their number:
+#: 1 MB each. Full filters cost time, not results.
 FILTER_BITS = 23
 
 _LONGEST = max(map(len, MASKS))
@@ -115,7 +116,7 @@ def _hit_batches(bits):
     reach = WINDOW + _LONGEST
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = bits.value
+        low_filter, high_filter = bits.value
         for batch in batches:
             for first, last, data, offsets in text_slices(batch):
                 starts, ends, marks = word_bounds(data, offsets, ALNUM)
@@ -126,7 +127,8 @@ def _hit_batches(bits):
                     hashed = seed_hashes(words, m)
                     if not len(hashed):
                         continue
-                    at = np.flatnonzero(in_filter(table, hashed))
+                    at = np.flatnonzero(in_filter(low_filter, hashed))
+                    at = at[in_filter(high_filter, hashed[at] >> np.uint64(32))]
                     at = at[row_of[at] == row_of[at + len(mask) - 1]]
                     found.append(at)
                     seeds.append(hashed[at])
@@ -204,7 +206,9 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     text), the row whatever its id.
     """
     seeds = stored(item_seeds(benchmark), "decontaminate-seeds")
-    bits = docs.sparkSession.sparkContext.broadcast(bit_filter(seeds, "seed", FILTER_BITS))
+    high = seeds.selectExpr("shiftrightunsigned(seed, 32) AS seed")
+    filters = [bit_filter(half, "seed", FILTER_BITS) for half in (seeds, high)]
+    bits = docs.sparkSession.sparkContext.broadcast(filters)
     hits = stored(
         _lowered(docs, "doc_id").mapInArrow(
             _hit_batches(bits),
