@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from orderlayers.llm.common import mix, stored
 from orderlayers.llm.components import connected_components
 
-TREES, LEAF, DEPTH = 4, 1024, 6
+TREES, LEAF, DEPTH = 4, 2048, 6
 #: Vectors of a cell that its splits are fitted to, about.
 SAMPLE = 4096
 #: Half the width of a split's overlap, in standard deviations of how far the two vectors of a
@@ -219,7 +219,8 @@ def embedding_components(embeddings: DataFrame, least: float = 0.93, trees: int
             done.append(rows)
             break
         done.append(rows.join(large, "cell", "left_anti"))
-        levels = F.least(F.lit(DEPTH), F.ceil(F.log2(F.col("size") / leaf))).cast("int")
+        # One level more than halves would need: overlaps make halves larger than half.
+        levels = F.least(F.lit(DEPTH), F.ceil(F.log2(F.col("size") / leaf)) + 1).cast("int")
         share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("size"))
         chosen = (
             rows.join(large.select("cell", share.alias("share"), levels.alias("levels")), "cell")
