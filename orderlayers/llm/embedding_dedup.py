@@ -4,10 +4,12 @@ Only vectors of one label are compared. Each tree splits a label's vectors by wh
 random directions, each time at the median of a bounded sample; vectors near a split go to both
 sides (spill), so that close pairs are rarely parted, and several trees with directions of their
 own make up for those that are. Cells larger than LEAF are split further, in rounds of up to
-DEPTH levels, by models fitted to their own samples, until all are small or the sample shows no
-spread to split. Within each leaf all pairs are compared exactly, in double precision, by block
-products. A pair that shares leaves is counted in the first of them only, which each leaf can
-tell from the two vectors' leaf lists, so trees and spill count no link twice.
+DEPTH levels, by models fitted to their own samples, until all are small or no direction tried
+would spare comparisons, as in a group of near copies. Within each leaf all pairs are compared
+exactly, in double precision, by block products; a leaf larger than LEAF is dealt into blocks, and
+each pair of its blocks is one group of bounded size. A pair that shares leaves is counted in the
+first of them only, which each group can tell from the two vectors' leaf lists, so trees and spill
+count no link twice. A label that no split divides in one tree is compared in that tree alone.
 
 Equal vectors of a label are one class with a multiplicity. Leaves return no pairs but each
 vector's number of links and one edge per linked group, and components come from those edges.
@@ -36,6 +38,10 @@ SAMPLE = 4096
 #: Half the width of a split's overlap, in standard deviations of how far the two vectors of a
 #: pair at the threshold lie apart on a random direction. A split parts about one in 200 of them.
 SPILL = 0.9
+#: A split is made when it leaves at most this share of the comparisons of the cell as a whole.
+WORTH = 0.9
+#: Evenly spaced cuts tried where the median is no good cut, as among clumps of unequal size.
+CUTS = 31
 BLOCK = 1024
 
 
@@ -66,6 +72,19 @@ def _matrix(column) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
+def _best_cut(line: np.ndarray, spill: float) -> float | None:
+    """The median, or else the best of evenly spaced cuts; None where no cut spares enough."""
+
+    def left_over(cut: float) -> float:
+        left, right = np.count_nonzero(line <= cut + spill), np.count_nonzero(line >= cut - spill)
+        return (left * left + right * right) / len(line) ** 2
+
+    cut = float(np.median(line))
+    if left_over(cut) > WORTH:
+        cut = min(map(float, np.linspace(line.min(), line.max(), CUTS + 2)[1:-1]), key=left_over)
+    return cut if left_over(cut) <= WORTH else None
+
+
 def _fit_cells(reach: float):
     def work(key: tuple[pa.Scalar, ...], cell: pa.Table) -> pa.Table:
         """Thresholds of a cell's splits, level by level, at the medians of its sample."""
@@ -80,12 +99,13 @@ def _fit_cells(reach: float):
             if len(own) < 2:
                 continue
             line = lines[own, level]
-            cut = float(np.median(line))
-            left, right = own[line <= cut + spill], own[line >= cut - spill]
-            if max(len(left), len(right)) > 0.9 * len(own):
-                continue  # one clump on this direction: left whole here, split by a lower level
+            cut = _best_cut(line, spill)
+            if cut is None:
+                if level + 1 < levels:  # one clump on this direction: the next level's is tried
+                    members[2 * node + 1] = own
+                continue
             cuts[node] = cut
-            members[2 * node + 1], members[2 * node + 2] = left, right
+            members[2 * node + 1], members[2 * node + 2] = own[line <= cut + spill], own[line >= cut - spill]
         return pa.table({"cell": pa.array([key[0].as_py()], pa.int64()), "cuts": pa.array([cuts.tolist()], pa.list_(pa.float64()))})
 
     return work
@@ -115,7 +135,7 @@ def _route_batches(reach: float):
                     split = ~np.isnan(cut)
                     left = ~split | (line <= cut + spill)
                     right = split & (line >= cut - spill)
-                    # An unsplit cell goes on in its left child, whose cut is unset as well.
+                    # An unsplit cell goes on whole in its left child.
                     node = np.concatenate([2 * node[left] + 1, 2 * node[right] + 2])
                     at = np.concatenate([at[left], at[right]])
                 base = np.uint64(int(cell) * 0x9E3779B97F4A7C15 % (1 << 64))
@@ -132,7 +152,8 @@ def _route_batches(reach: float):
 
 
 def _leaf_links(least: float):
-    """Links of a leaf that no earlier common leaf has counted: counts, and edges of groups."""
+    """Links between two blocks of a leaf, or within one, that no earlier common leaf has counted:
+    counts, and edges of groups."""
 
     def work(key: tuple[pa.Scalar, ...], leaf: pa.Table) -> pa.Table:
         points = _matrix(leaf["vec"])
@@ -140,7 +161,8 @@ def _leaf_links(least: float):
         lists = leaf["leaves"].combine_chunks()
         sizes = lists.value_lengths().to_numpy()
         flat, marks = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(sizes)])
-        here, count = key[0].as_py(), len(names)
+        here, low, high = (k.as_py() for k in key)
+        part, count = leaf["part"].to_numpy(), len(names)
         links = np.zeros(count, np.int64)
         parent = np.arange(count)
 
@@ -158,14 +180,17 @@ def _leaf_links(least: float):
         for i, x in enumerate(earlier):
             table[i, : len(x)] = x
         empty = np.iinfo(np.int64).min
-        for low in range(0, count, BLOCK):
-            near = points[low : low + BLOCK] @ points.T >= least
-            i, j = np.nonzero(near)
-            i += low
-            once = i < j
-            i, j = i[once], j[once]
-            for part in range(0, len(i), 1 << 18):
-                a, b = i[part : part + (1 << 18)], j[part : part + (1 << 18)]
+        rows, columns = np.flatnonzero(part == low), np.flatnonzero(part == high)
+        across = points[columns].T
+        for first in range(0, len(rows), BLOCK):
+            block = rows[first : first + BLOCK]
+            i, j = np.nonzero(points[block] @ across >= least)
+            i, j = block[i], columns[j]
+            if low == high:
+                once = i < j
+                i, j = i[once], j[once]
+            for at in range(0, len(i), 1 << 18):
+                a, b = i[at : at + (1 << 18)], j[at : at + (1 << 18)]
                 met = np.zeros(len(a), bool)
                 for x in range(width):
                     for y in range(width):
@@ -178,6 +203,8 @@ def _leaf_links(least: float):
                     rx, ry = root(int(x)), root(int(y))
                     if rx != ry:
                         parent[max(rx, ry)] = min(rx, ry)
+                while (parent != parent[parent]).any():
+                    parent = parent[parent]
         tops = np.array([root(i) for i in range(count)], np.int64)
         told = np.flatnonzero((links > 0) | (tops != np.arange(count)))
         return pa.table({"cls": names[told], "links": links[told], "top": names[tops[told]]})
@@ -187,9 +214,9 @@ def _leaf_links(least: float):
 
 def _fresh(parent: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pairs that could still join two groups: one for each second vector and group."""
-    if not len(a):
-        return a, b
-    _, first = np.unique(np.stack([parent[a], b]), axis=1, return_index=True)
+    apart = parent[a] != parent[b]
+    a, b = a[apart], b[apart]
+    _, first = np.unique(parent[a] * len(parent) + b, return_index=True)
     return a[first], b[first]
 
 
@@ -216,9 +243,9 @@ def embedding_components(embeddings: DataFrame, least: float = 0.93, trees: int
         sizes = stored(rows.groupBy("cell").agg(F.count(F.lit(1)).alias("size")), "embedding-sizes")
         large = sizes.filter(F.col("size") > leaf)
         if large.isEmpty():
-            done.append(rows)
+            done.append(rows.withColumn("parts", F.lit(1).cast("long")))
             break
-        done.append(rows.join(large, "cell", "left_anti"))
+        done.append(rows.join(large, "cell", "left_anti").withColumn("parts", F.lit(1).cast("long")))
         # One level more than halves would need: overlaps make halves larger than half.
         levels = F.least(F.lit(DEPTH), F.ceil(F.log2(F.col("size") / leaf)) + 1).cast("int")
         share = F.least(F.lit(1.0), F.lit(float(SAMPLE)) / F.col("size"))
@@ -232,8 +259,13 @@ def embedding_components(embeddings: DataFrame, least: float = 0.93, trees: int
             "embedding-models",
         )
         split = models.filter(F.exists("cuts", lambda x: ~F.isnan(x)))
-        whole = models.filter(~F.exists("cuts", lambda x: ~F.isnan(x))).select("cell")
-        done.append(rows.join(whole, "cell", "left_semi"))
+        parts = F.ceil(F.col("size") / leaf).alias("parts")
+        whole = models.filter(~F.exists("cuts", lambda x: ~F.isnan(x))).join(large, "cell").select("cell", parts)
+        if len(done) == 1:  # still one cell a tree: where one stays whole, the other trees find nothing more
+            enough = rows.join(whole, "cell").groupBy("group").agg(F.min("tree").alias("enough"))
+            enough = stored(enough, "embedding-enough")
+            rows = rows.join(enough, "group", "left").filter("enough is null or tree = enough").drop("enough")
+        done.append(rows.join(whole, "cell").select(*done[0].columns))
         rows = stored(
             rows.join(split, "cell").mapInArrow(
                 _route_batches(reach), "group long, tree int, cls long, n long, vec array<double>, cell long"
@@ -243,12 +275,19 @@ def embedding_components(embeddings: DataFrame, least: float = 0.93, trees: int
     placed = done[0]
     for more in done[1:]:
         placed = placed.unionByName(more)
-    placed = stored(placed.select("cls", "n", "cell", "vec"), "embedding-leaves")
+    placed = stored(placed.select("cls", "n", "cell", "parts", "vec"), "embedding-leaves")
     lists = stored(
         placed.groupBy("cls").agg(F.array_sort(F.collect_set("cell")).alias("leaves")), "embedding-lists"
     )
+    # Each vector of a leaf of several blocks meets those of every block once.
+    blocks = (
+        placed.join(lists, "cls")
+        .withColumn("part", F.pmod(F.xxhash64("cls"), F.col("parts")))
+        .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+        .select("cell", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"), "cls", "n", "vec", "leaves", "part")
+    )
     found = stored(
-        placed.join(lists, "cls").groupBy("cell").applyInArrow(_leaf_links(least), "cls long, links long, top long"),
+        blocks.groupBy("cell", "low", "high").applyInArrow(_leaf_links(least), "cls long, links long, top long"),
         "embedding-links",
     )
     counts = stored(found.groupBy("cls").agg(F.sum("links").alias("links")), "embedding-counts")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import numpy as np
 
+from orderlayers.llm import embedding_dedup
 from orderlayers.llm.embedding_dedup import embedding_components
 
 
@@ -34,6 +35,40 @@ def test_links_and_components_equal_brute_force(spark):
     assert found == brute(rows)
 
 
+def test_a_group_of_near_copies_is_compared_in_groups_of_bounded_size(spark, monkeypatch, tmp_path):
+    r = np.random.default_rng(5)
+    middle = r.normal(size=64)
+    # Mutual cosines about 0.93: some pairs link, some do not, and no split divides the clump.
+    clump = middle / np.linalg.norm(middle) + r.normal(size=(300, 64)) * 0.034
+    rows = [(k, [float(x) for x in v.astype(np.float32)], 1) for k, v in enumerate(clump)]
+    met = embedding_dedup._leaf_links
+
+    def watched(least):
+        work = met(least)
+
+        def noting(key, leaf):
+            (tmp_path / "-".join(str(k.as_py()) for k in key)).write_text(str(leaf.num_rows))
+            return work(key, leaf)
+
+        return noting
+
+    monkeypatch.setattr(embedding_dedup, "_leaf_links", watched)
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    found = {x["vec_id"]: (x["n_links"], x["component_id"]) for x in embedding_components(frame, leaf=32).collect()}
+    assert found == brute(rows)
+    assert 0 < sum(n for n, _ in found.values()) < 300 * 299
+    sizes = [int(f.read_text()) for f in tmp_path.iterdir()]
+    assert len(sizes) == 55 and max(sizes) <= 4 * 32  # ten blocks, in one tree
+
+
+def test_a_cell_is_split_on_another_direction_or_beside_the_median():
+    # Two clumps of unequal size: the median lies in the larger one, where its overlap takes all.
+    line = np.concatenate([np.full(49, -1.0), np.full(51, 1.0)])
+    cut = embedding_dedup._best_cut(line, 0.1)
+    assert cut is not None and -0.9 < cut < 0.9
+    assert embedding_dedup._best_cut(np.zeros(100), 0.1) is None
+
+
 def test_vectors_that_cannot_link(spark):
     one = [1.0, 0.0]
     rows = [
