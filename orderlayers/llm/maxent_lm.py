@@ -1,20 +1,24 @@
-"""LM scoring by a hashed maximum-entropy model.
+"""LM scoring by a hashed maximum-entropy model over all words.
 
-A token's probability is P(class | context) * P(token | class, context): a softmax over classes
-and one over the tokens of the class. Features of a context are the token before (n-gram), the
-two before together (n-gram) and the one before that alone (skip), and a constant; feature and
-outcome together are hashed into tables of weights. The most frequent tokens are the model's
-outcomes, all others share one outcome and are told apart by their smoothed counts, so the
-probabilities of all token strings sum to one.
+A token's probability is a product of two-way choices down a tree whose leaves are the model's
+outcomes; each choice is a logistic model whose features are the token before (n-gram), the two
+before together (n-gram), the one before that alone (skip), and a constant. Feature and choice
+together are hashed into a table of weights that grows with the number of training tokens.
 
-Learning covers every training text. Spark counts all tokens, and Python tasks reduce the texts
-to counts of (context, outcome), which Spark sums. Training goes in rounds: from common weights,
-each task takes gradient steps on its part of those counts, and Spark averages the tasks' weight
-changes block by block; the driver holds the weights, whose number is fixed.
+Outcomes are the end, every token that makes up at least 1 in HEAD of all training tokens, and
+buckets of the rarer ones by hash, whose number grows with the number of their types. So the context
+of any token moves its probability: a rare one has its bucket's given the context, times its
+smoothed count's share of the bucket. As context, a rare token is a hashed number of its own among
+RARE. Without weights each choice follows the smoothed counts, so that the model starts as their
+distribution. Probabilities sum to one over all tokens, each bucket holding one unseen one.
+
+Learning covers every training text, read anew in each round: from common weights, each task
+takes steps by gradient and curvature on its part of the texts, and Spark averages the tasks' weight
+changes block by block, each weighing the curvature it has seen, so that what few tasks have met
+is not averaged away; the driver holds the weights.
 
 Scoring reads each text once. Tokens so frequent that at most HEAD of them can exist are looked
 up in a table of proven size; the rest, rare by the same proof, are joined to the counts.
-Contexts of a slice of texts are scored once each, in numpy.
 
 Defined results: NULL and empty texts are their end alone. Where no text is in training, all
 counts are 0, N and V are 0 and both scores are 0 for each token but for the model's outcomes,
@@ -27,98 +31,125 @@ from __future__ import annotations
 import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlayers.llm.common import crc_of_id, slices, stored, text_column
+from orderlayers.llm.common import crc_of_id, mix, slices, stored, text_column
 
 #: Tokens with at least N / HEAD of all N training tokens: there can be no more than HEAD.
 HEAD = 1 << 17
-#: Outcomes of the model (with the end and the shared one), classes, and weights of both softmaxes.
-OUTCOMES, CLASSES = 1024, 32
-CLASS_ROWS, TOKEN_WEIGHTS = 1 << 13, 1 << 18
-ROUNDS, PARTS, BLOCKS, BATCH = 3, 24, 64, 1 << 15
-#: Number of the end of a text, of all tokens that are no outcome, and of what is before a text.
-END, OTHER, START = 0, 1, OUTCOMES
+#: Types of rare tokens a bucket, about, and most buckets.
+TYPES_PER_BUCKET, BUCKETS = 16, 1 << 16
+#: Numbers of rare tokens as context.
+RARE = 1 << 20
+#: Least and most weights (powers of two); between them, one for every so many training tokens.
+WEIGHT_BITS, TOKENS_PER_WEIGHT = (18, 22), 16
+ROUNDS, PARTS, BLOCKS, BATCH = 3, 24, 64, 1 << 16
+#: Share of a weight's own best step that is taken, as four weights share each choice.
+RATE = 0.5
+#: Curvature at which half of a weight is kept after each round: what was met seldom says little.
+PRIOR = 8.0
+#: Number of the end of a text as token and outcome. Frequent tokens follow it, rare ones begin at
+#: FIRST_RARE as tokens; START is what is before a text.
+END, FIRST_RARE, START = 0, 1 << 18, (1 << 21) - 1
 
 _SPACES = r"[\x20\x09-\x0D]+"
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_TURN = np.uint64(0xD6E8FEB86659FD93)
 
 
-def _spread(values: np.ndarray, salt: int, size: int) -> np.ndarray:
-    mixed = (values.astype(np.uint64) + np.uint64(salt)) * np.uint64(0x9E3779B97F4A7C15)
-    mixed ^= mixed >> np.uint64(29)
-    mixed *= np.uint64(0xBF58476D1CE4E5B9)
-    return ((mixed >> np.uint64(32)) % np.uint64(size)).astype(np.int64)
+def _feature_hashes(before: np.ndarray, earlier: np.ndarray) -> list[np.ndarray]:
+    """Constant, token before, token before that (skip), both, as hashes of their own."""
+    one, two = before.astype(np.uint64), earlier.astype(np.uint64)
+    kind = np.uint64(1 << 60)
+    return [
+        mix(x)
+        for x in (np.zeros_like(one), kind + one, np.uint64(2) * kind + two, np.uint64(3) * kind + (two << np.uint64(21)) + one)
+    ]
 
 
-def _feature_values(before: np.ndarray, earlier: np.ndarray) -> list[np.ndarray]:
-    """Constant, token before, token before that (skip), both, as numbers of their own."""
-    step = OUTCOMES + 1
-    pair = earlier * step + before
-    return [np.zeros_like(before), 1 + before, 1 + step + earlier, 1 + 2 * step + pair]
+@dataclass
+class Tree:
+    """Paths of all outcomes: the choices on the way down, and whether each goes right."""
+
+    marks: np.ndarray  # where each outcome's path begins, and one more mark
+    nodes: np.ndarray
+    rights: np.ndarray
+    base: np.ndarray  # each choice's log odds by the smoothed counts
+
+    @classmethod
+    def of(cls, masses: np.ndarray) -> Tree:
+        """Halves of about equal mass, from all outcomes down to each."""
+        order = np.argsort(-masses, kind="stable")
+        sums = np.concatenate([[0.0], np.cumsum(masses[order])])
+        size = len(masses)
+        low, high = np.zeros(min(size, 1), np.int64), np.full(min(size, 1), size)
+        low, high = low[high > 1], high[high > 1]
+        spots, nodes, rights, base, count = [], [], [], [], 0
+        while len(low):
+            half = np.searchsorted(sums, (sums[low] + sums[high]) / 2)
+            half -= np.abs(sums[half - 1] - (sums[low] + sums[high]) / 2) < np.abs(sums[half] - (sums[low] + sums[high]) / 2)
+            half = np.clip(half, low + 1, high - 1)
+            base.append(np.log((sums[high] - sums[half]) / (sums[half] - sums[low])))
+            sizes = high - low
+            inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes) + np.repeat(low, sizes)
+            spots.append(inside)
+            nodes.append(np.repeat(count + np.arange(len(low)), sizes))
+            rights.append(inside >= np.repeat(half, sizes))
+            count += len(low)
+            low, high = np.stack([low, half], 1).ravel(), np.stack([half, high], 1).ravel()
+            low, high = low[high - low > 1], high[high - low > 1]
+        if not spots:
+            none = np.empty(0, np.int64)
+            return cls(np.zeros(size + 1, np.int64), none, none.astype(bool), none.astype(float))
+        owner = order[np.concatenate(spots)]
+        sort = np.argsort(owner, kind="stable")
+        return cls(
+            np.searchsorted(owner[sort], np.arange(size + 1)),
+            np.concatenate(nodes)[sort], np.concatenate(rights)[sort], np.concatenate(base),
+        )
 
 
 @dataclass
 class MaxentModel:
-    classes: np.ndarray  # first outcome of each class, and one more mark
-    class_weights: np.ndarray = field(default_factory=lambda: np.zeros((CLASS_ROWS, CLASSES), np.float32))
-    token_weights: np.ndarray = field(default_factory=lambda: np.zeros(TOKEN_WEIGHTS, np.float32))
-
-    def class_of(self, outcomes: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.classes, outcomes, "right") - 1
-
-    def class_scores(self, before: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities of all classes by context, and the rows of weights they come from."""
-        rows = np.stack([_spread(v, 1, CLASS_ROWS) for v in _feature_values(before, earlier)])
-        scores = self.class_weights[rows].sum(axis=0)
-        scores[:, len(self.classes) - 1 :] = -np.inf
-        return _log_softmax(scores), rows
-
-    def token_scores(self, k: int, before: np.ndarray, earlier: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Log probabilities of the tokens of class k by context, and the weights they come from."""
-        first, last = int(self.classes[k]), int(self.classes[k + 1])
-        tokens = np.arange(first, last)
-        # The pair of tokens is left to the classes: within a class it is too rare to learn from.
-        places = np.stack(
-            [_spread(v[:, None] * OUTCOMES + tokens[None, :], 2, TOKEN_WEIGHTS) for v in _feature_values(before, earlier)[:3]]
-        )
-        return _log_softmax(self.token_weights[places].sum(axis=0)), places
+    tree: Tree
+    bits: int = WEIGHT_BITS[0]
+    weights: np.ndarray = field(default=None)
+
+    def __post_init__(self) -> None:
+        if self.weights is None:
+            self.weights = np.zeros(1 << self.bits, np.float32)
+
+    @property
+    def classes(self) -> np.ndarray:
+        """Each outcome is a leaf of its own: its number, and one more mark."""
+        return np.arange(len(self.tree.marks))
+
+    def choices(self, before: np.ndarray, earlier: np.ndarray, outcome: np.ndarray):
+        """Of all tokens' choices one after another: sizes by token, places of weights, log odds, rights."""
+        tree = self.tree
+        sizes = tree.marks[outcome + 1] - tree.marks[outcome]
+        owner = np.repeat(np.arange(len(outcome)), sizes)
+        at = np.arange(len(owner)) + np.repeat(tree.marks[outcome] - np.cumsum(sizes) + sizes, sizes)
+        nodes = tree.nodes[at]
+        spread, odds, places = nodes.astype(np.uint64) * _STEP, tree.base[nodes], []
+        for hashed in _feature_hashes(before, earlier):
+            place = (((hashed[owner] ^ spread) * _TURN) >> np.uint64(64 - self.bits)).astype(np.int64)
+            odds = odds + self.weights[place]
+            places.append(place)
+        return sizes, places, odds, tree.rights[at]
 
     def log10(self, before: np.ndarray, earlier: np.ndarray, outcome: np.ndarray) -> np.ndarray:
-        """log10 P(outcome | context); equal contexts are worked out once."""
-        step = OUTCOMES + 1
-        pairs, inverse = np.unique(earlier * step + before, return_inverse=True)
-        by_class, _ = self.class_scores(pairs % step, pairs // step)
-        kind = self.class_of(outcome)
-        result = by_class[inverse, kind].astype(np.float64)
-        order = np.argsort(kind, kind="stable")
-        marks = np.searchsorted(kind[order], np.arange(len(self.classes)))
-        for k in range(len(self.classes) - 1):
-            own = order[marks[k] : marks[k + 1]]
-            if len(own) and self.classes[k + 1] - self.classes[k] > 1:
-                used, at = np.unique(inverse[own], return_inverse=True)
-                scores, _ = self.token_scores(k, pairs[used] % step, pairs[used] // step)
-                result[own] += scores[at, outcome[own] - self.classes[k]]
-        return result / math.log(10)
-
-
-def _log_softmax(scores: np.ndarray) -> np.ndarray:
-    scores = scores - scores.max(axis=1, keepdims=True)
-    return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
-
-
-def _class_marks(counts: list[int]) -> np.ndarray:
-    """Classes of outcomes ordered by falling count: two of one outcome, then equal shares of the
-    square roots of the counts."""
-    marks = [END, OTHER]
-    if counts:
-        share = np.cumsum(np.sqrt(np.array(counts, float)))
-        bins = np.minimum((share / share[-1] * (CLASSES - 2)).astype(int), CLASSES - 3)
-        marks += [2 + int(k) for k in np.unique(np.searchsorted(bins, np.unique(bins)))]
-    return np.array([*marks, 2 + len(counts)], np.int64)
+        """log10 P(outcome | context)."""
+        sizes, _, odds, rights = self.choices(before, earlier, outcome)
+        logs = -np.logaddexp(0.0, np.where(rights, -odds, odds))
+        sums = np.concatenate([[0.0], np.cumsum(logs)])
+        marks = np.concatenate([[0], np.cumsum(sizes)])
+        return (sums[marks[1:]] - sums[marks[:-1]]) / math.log(10)
 
 
 def in_training(column: str = "doc_id") -> F.Column:
@@ -146,6 +177,22 @@ def _tokens(batch: pa.RecordBatch, column: str = "text"):
         yield first, last, [x.split() for x in raw]
 
 
+def _numbers(rows: list[list[bytes]], head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers and log counts (NaN for rare tokens) of the tokens of rows with their ends, and lengths."""
+    found = [head.get(t) or (math.nan, FIRST_RARE + crc32(t) % RARE) for row in rows for t in row]
+    lengths = np.array([len(r) + 1 for r in rows], np.int64)
+    inner = np.ones(int(lengths.sum()), bool)
+    inner[np.cumsum(lengths) - 1] = False
+    numbers, logs = np.full(len(inner), END, np.int64), np.zeros(len(inner))
+    pairs = np.array(found, np.float64).reshape(-1, 2)
+    logs[inner], numbers[inner] = pairs[:, 0], pairs[:, 1].astype(np.int64)
+    return numbers, logs, lengths
+
+
+def _outcomes(numbers: np.ndarray, first_bucket: int, buckets: int) -> np.ndarray:
+    return np.where(numbers < FIRST_RARE, numbers, first_bucket + (numbers - FIRST_RARE) % buckets)
+
+
 def _contexts(numbers: np.ndarray, lengths: np.ndarray):
     """The tokens before and before that of each token of texts laid one after another."""
     before, earlier = np.empty_like(numbers), np.empty_like(numbers)
@@ -158,116 +205,64 @@ def _contexts(numbers: np.ndarray, lengths: np.ndarray):
     return before, earlier
 
 
-def _count_batches(shared):
-    """(key, n): occurrences of each context with each outcome, summed over a task by parts."""
+def _gradient_batches(shared, head, first_bucket: int, buckets: int, rate: float):
+    """One pass of gradient steps over a task's texts; returns the change of the weights in blocks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        outcomes = shared.value
-        keys, sums, held = [], [], 0
+        base = shared.value
+        model = MaxentModel(base.tree, base.bits, base.weights.copy())
+        curvature = np.zeros_like(model.weights)
+        held, waiting = 0, []
 
-        def merged() -> tuple[np.ndarray, np.ndarray]:
-            every, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-            return every, np.bincount(inverse, weights=np.concatenate(sums)).astype(np.int64)
+        def learn() -> None:
+            before, earlier, outcome = (np.concatenate(x) for x in zip(*waiting, strict=True))
+            for low in range(0, len(before), BATCH):
+                part = slice(low, low + BATCH)
+                _step(model, curvature, before[part], earlier[part], outcome[part], rate)
 
         for batch in batches:
             for _, _, rows in _tokens(batch):
-                flat = [outcomes.get(t, OTHER) for row in rows for t in (*row, None)]
-                lengths = np.array([len(r) + 1 for r in rows], np.int64)
-                numbers = np.array(flat, np.int64)
-                numbers[np.cumsum(lengths) - 1] = END
-                before, earlier = _contexts(numbers, lengths)
-                key, n = np.unique((earlier << 22) | (before << 11) | numbers, return_counts=True)
-                keys.append(key)
-                sums.append(n)
-                held += len(key)
-                if held > 1 << 21:
-                    key, n = merged()
-                    if len(key) > 1 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-                        keys, sums, held = [], [], 0
-                    else:
-                        keys, sums, held = [key], [n], len(key)
-        if keys:
-            key, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
-
-    return work
-
-
-def _gradient_batches(shared, rate: float):
-    """One pass of gradient steps over a task's counts; returns the change of the weights in blocks."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = shared.value
-        model = MaxentModel(base.classes, base.class_weights.copy(), base.token_weights.copy())
-        class_speed = np.full_like(model.class_weights, 1e-6)
-        token_speed = np.full_like(model.token_weights, 1e-6)
-        seen = 0
-        for batch in batches:
-            key, n = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            mixed = np.argsort(_spread(key >> 11, 3, 1 << 30), kind="stable")  # contexts stay together
-            for low in range(0, len(key), BATCH):
-                part = mixed[low : low + BATCH]
-                _step(model, class_speed, token_speed, key[part], n[part].astype(np.float64), rate)
-                seen += int(n[part].sum())
-        flat = np.concatenate([(model.class_weights - base.class_weights).ravel(), model.token_weights - base.token_weights])
-        blocks = np.array_split(flat, BLOCKS)
+                numbers, _, lengths = _numbers(rows, head.value)
+                waiting.append((*_contexts(numbers, lengths), _outcomes(numbers, first_bucket, buckets)))
+                held += len(numbers)
+                if held >= BATCH:
+                    learn()
+                    held, waiting = 0, []
+        if waiting:
+            learn()
+        both = (np.array_split(x.astype("<f4"), BLOCKS) for x in (curvature, model.weights - base.weights))
         yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(range(BLOCKS), pa.int32()),
-                pa.array([float(seen)] * BLOCKS),
-                pa.array([b.astype("<f4").tobytes() for b in blocks], pa.binary()),
-            ],
+            [pa.array(range(BLOCKS), pa.int32()), *(pa.array([b.tobytes() for b in x], pa.binary()) for x in both)],
             ["block", "weight", "change"],
         )
 
     return work
 
 
-def _step(model, class_speed, token_speed, key, n, rate) -> None:
-    """A gradient step on counts of (context, outcome), with steps of their own for all weights."""
-    pairs, inverse = np.unique(key >> 11, return_inverse=True)
-    before, earlier, outcome = pairs & 2047, pairs >> 11, key & 2047
-    total = np.bincount(inverse, weights=n)
-    kind = model.class_of(outcome)
-    scores, rows = model.class_scores(before, earlier)
-    error = np.exp(scores) * total[:, None]
-    np.subtract.at(error, (inverse, kind), n)
-    scale = 1.0 / n.sum()
-    slope = np.zeros(CLASS_ROWS * CLASSES)
-    for row in rows:
-        place = row[:, None] * CLASSES + np.arange(CLASSES)
-        slope += np.bincount(place.ravel(), weights=error.ravel(), minlength=len(slope))
-    slope = (slope * scale).astype(np.float32).reshape(model.class_weights.shape)
-    class_speed += slope * slope
-    model.class_weights -= rate * slope / np.sqrt(class_speed)
-    slope = np.zeros(TOKEN_WEIGHTS)
-    for k in np.unique(kind):
-        size = int(model.classes[k + 1] - model.classes[k])
-        if size < 2:
-            continue
-        own = np.flatnonzero(kind == k)
-        used, at = np.unique(inverse[own], return_inverse=True)
-        scores, places = model.token_scores(k, before[used], earlier[used])
-        weight = np.bincount(at, weights=n[own])
-        error = np.exp(scores) * weight[:, None]
-        np.subtract.at(error, (at, outcome[own] - model.classes[k]), n[own])
-        for place in places:
-            slope += np.bincount(place.ravel(), weights=error.ravel(), minlength=TOKEN_WEIGHTS)
-    slope = (slope * scale).astype(np.float32)
-    token_speed += slope * slope
-    model.token_weights -= rate * slope / np.sqrt(token_speed)
+def _step(model: MaxentModel, curvature: np.ndarray, before, earlier, outcome, rate: float) -> None:
+    """A step on tokens in their contexts, each weight's by its slope and the curvature met so far."""
+    _, places, odds, rights = model.choices(before, earlier, outcome)
+    chance = 1 / (1 + np.exp(-odds))
+    error = chance - rights
+    # Of a choice that is far off, the curvature is no measure of the step.
+    bend = np.maximum(chance * (1 - chance), np.abs(error) / 4)
+    slope = np.zeros(len(model.weights))
+    for place in places:
+        slope += np.bincount(place, weights=error, minlength=len(slope))
+        curvature += np.bincount(place, weights=bend, minlength=len(slope)).astype(np.float32)
+    model.weights -= (rate * slope / (curvature + 1)).astype(np.float32)
 
 
 def _mean_change(block: pa.Table) -> pa.Table:
-    """Mean of the tasks' changes of a block of weights, each weighing its number of tokens."""
-    weights = block["weight"].to_numpy()
-    total = sum(
-        w * np.frombuffer(x.as_py(), "<f4").astype(np.float64)
-        for w, x in zip(weights, block["change"], strict=True)
-    )
-    mean = (total / max(weights.sum(), 1)).astype("<f4").tobytes()
-    return pa.table({"block": block["block"].slice(0, 1), "change": pa.array([mean], pa.binary())})
+    """Mean of the tasks' changes of a block of weights, each weighing the curvature it has seen,
+    and all of that."""
+    total = weights = 0.0
+    for w, x in zip(block["weight"], block["change"], strict=True):
+        weight = np.frombuffer(w.as_py(), "<f4").astype(np.float64)
+        weights = weights + weight
+        total = total + weight * np.frombuffer(x.as_py(), "<f4")
+    both = ((x.astype("<f4").tobytes()) for x in (weights, total / np.maximum(weights, 1e-9)))
+    return pa.table([block["block"].slice(0, 1), *(pa.array([x], pa.binary()) for x in both)], ["block", "weight", "change"])
 
 
 class MaxentScorer:
@@ -280,81 +275,81 @@ class MaxentScorer:
         row = self.counts.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
         self.tokens = row["n"] + ends
         self.types = row["v"] + (1 if ends else 0)
-        head = self.counts.filter(F.col("c") * HEAD >= self.tokens).orderBy(F.desc("c"), "token").collect()
-        outcomes = [(r["token"].encode(), r["c"]) for r in head[: OUTCOMES - 2]]
-        numbers = {t: 2 + k for k, (t, _) in enumerate(outcomes)}
-        known = sum(c for _, c in outcomes)
-        # Count and types of what shares the outcome OTHER, the unseen token among them.
+        frequent = F.col("c") * HEAD >= self.tokens
+        head = self.counts.filter(frequent).orderBy(F.desc("c"), "token").collect()
         self.base_log = math.log10(self.tokens + 0.5 * (self.types + 1))
-        self.other_log = math.log10(self.tokens - ends - known + 0.5 * (row["v"] - len(outcomes) + 1))
         self.ends = ends
         self.head = spark.sparkContext.broadcast(
-            {r["token"].encode(): (math.log10(r["c"] + 0.5), numbers.get(r["token"].encode(), OTHER)) for r in head}
+            {r["token"].encode(): (math.log10(r["c"] + 0.5), k + 1) for k, r in enumerate(head)}
         )
-        self.model = self._train(training, numbers, [c for _, c in outcomes])
-
-    def _train(self, training: DataFrame, numbers: dict[bytes, int], counts: list[int]) -> MaxentModel:
+        self.first_bucket = 1 + len(head)
+        types = (row["v"] - len(head)) // TYPES_PER_BUCKET
+        self.buckets = min(1 << max(types, 1).bit_length() - 1, BUCKETS)
+        place = F.pmod(F.pmod(F.crc32(F.col("token").cast("binary")), F.lit(RARE)), F.lit(self.buckets))
+        rare = (
+            self.counts.filter(~frequent).groupBy(place.cast("int").alias("bucket"))
+            .agg(F.sum("c").alias("c"), F.count(F.lit(1)).alias("v")).collect()
+        )
+        # Smoothed counts of each bucket's tokens, and of an unseen one.
+        masses = np.full(self.buckets, 0.5)
+        for r in rare:
+            masses[r["bucket"]] += r["c"] + 0.5 * r["v"]
+        self.bucket_logs = np.log10(masses)
+        tree = Tree.of(np.concatenate([[ends + 0.5], [r["c"] + 0.5 for r in head], masses]))
+        self.model = self._train(training, tree)
+
+    def _train(self, training: DataFrame, tree: Tree) -> MaxentModel:
         spark = training.sparkSession
-        model = MaxentModel(_class_marks(counts))
+        bits = min(max((self.tokens // TOKENS_PER_WEIGHT).bit_length(), WEIGHT_BITS[0]), WEIGHT_BITS[1])
+        model = MaxentModel(tree, bits)
         if not self.ends:
             return model
-        shared = spark.sparkContext.broadcast(numbers)
-        summed = (
-            _texts(training).select("text").mapInArrow(_count_batches(shared), "key long, n long")
-            .groupBy("key").agg(F.sum("n").alias("n"))
-        )
-        contexts = stored(summed, "lm-contexts")
-        sizes = [model.class_weights.size, model.token_weights.size]
-        for turn in range(ROUNDS):
+        texts = _texts(training).select("text").coalesce(PARTS)
+        for _ in range(ROUNDS):
             weights = spark.sparkContext.broadcast(model)
+            work = _gradient_batches(weights, self.head, self.first_bucket, self.buckets, RATE)
             changes = (
-                contexts.coalesce(PARTS)
-                .mapInArrow(_gradient_batches(weights, 0.3 / (1 + turn)), "block int, weight double, change binary")
+                texts.mapInArrow(work, "block int, weight binary, change binary")
                 .groupBy("block")
-                .applyInArrow(_mean_change, "block int, change binary")
+                .applyInArrow(_mean_change, "block int, weight binary, change binary")
                 .collect()
             )
-            flat = np.concatenate([np.frombuffer(r["change"], "<f4") for r in sorted(changes, key=lambda r: r["block"])])
-            model = MaxentModel(
-                model.classes,
-                model.class_weights + flat[: sizes[0]].reshape(model.class_weights.shape),
-                model.token_weights + flat[sizes[0] :],
-            )
+            changes.sort(key=lambda r: r["block"])
+            seen, change = (np.concatenate([np.frombuffer(r[c], "<f4") for r in changes]) for c in ("weight", "change"))
+            model = MaxentModel(tree, bits, (model.weights + change) * (seen / (seen + np.float32(PRIOR))))
         return model
 
     def _score_batches(self):
-        shared, ends, base_log, other_log = self.head, self.ends, self.base_log, self.other_log
+        shared, ends, base_log = self.head, self.ends, self.base_log
+        first_bucket, buckets, bucket_logs = self.first_bucket, self.buckets, self.bucket_logs
         weights = self.counts.sparkSession.sparkContext.broadcast(self.model)
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head, model = shared.value, weights.value
-            end = (math.log10(ends + 0.5), END)
-            rare = (math.nan, OTHER)
             for batch in batches:
                 for first, last, rows in _tokens(batch):
-                    found = [head.get(t, rare) for row in rows for t in row]
-                    lengths = np.array([len(r) + 1 for r in rows], np.int64)
+                    numbers, logs, lengths = _numbers(rows, head)
                     stop = np.cumsum(lengths) - 1
-                    inner = np.ones(int(lengths.sum()), bool)
-                    inner[stop] = False
-                    logs, numbers = np.empty(len(inner)), np.empty(len(inner), np.int64)
-                    pairs = np.array(found, np.float64).reshape(-1, 2)
-                    logs[inner], numbers[inner] = pairs[:, 0], pairs[:, 1].astype(np.int64)
-                    logs[stop], numbers[stop] = end
+                    logs[stop] = math.log10(ends + 0.5)
                     before, earlier = _contexts(numbers, lengths)
-                    chance = model.log10(before, earlier, numbers)
+                    outcome = _outcomes(numbers, first_bucket, buckets)
+                    chance = np.concatenate([
+                        model.log10(before[k : k + BATCH], earlier[k : k + BATCH], outcome[k : k + BATCH])
+                        for k in range(0, len(outcome), BATCH)
+                    ])
                     # Rare tokens' counts are added later, from the joined table.
                     tail = np.isnan(logs)
                     count = np.where(tail, 0.0, logs)
-                    other = numbers == OTHER
+                    chance[tail] -= bucket_logs[outcome[tail] - first_bucket]
                     starts = stop - lengths + 1
-                    chance = chance + np.where(other, count - other_log, 0.0)
                     base = np.add.reduceat(count, starts) - lengths * base_log
                     score = np.add.reduceat(chance, starts)
                     known = np.add.reduceat((~tail).astype(np.int64), starts)
                     if not ends:
                         known -= 1
                     rare_rows = np.add.reduceat(tail.astype(np.int64), starts)
+                    inner = np.ones(len(tail), bool)
+                    inner[stop] = False
                     flags = tail[inner].tolist()
                     words = [t for t, f in zip((t for row in rows for t in row), flags, strict=True) if f]
                     marks = np.concatenate([[0], np.cumsum(rare_rows)]).astype(np.int32)

@@ -55,3 +55,25 @@ def test_nothing_to_learn_from(docs):
     rows = MaxentScorer(frame.limit(0)).score(frame).orderBy("doc_id").collect()
     assert [(x["n_tokens"], x["n_known"], x["train_tokens"]) for x in rows] == [(3, 0, 0), (1, 0, 0)]
     assert all(abs(x["base_score"]) < 1e-9 for x in rows)
+
+
+def test_the_context_counts_for_words_of_any_rank(docs):
+    # Beyond a thousand words, each word is followed by one of its own in all texts but one.
+    pairs = [(f"left{k}", f"right{k}") for k in range(3000)]
+    order = np.random.default_rng(2).permutation(np.repeat(np.arange(3000), 20))
+    lines = [" ".join(" ".join(pairs[k]) for k in part) for part in np.array_split(order, 100)]
+    scorer = MaxentScorer(docs(*lines))
+    told = docs("left7 right7 left2990 right2990", "left7 right2990 left2990 right7")
+    fit, misfit = (x["score"] for x in scorer.score(told).orderBy("doc_id").collect())
+    assert fit > misfit + 1
+    assert len(scorer.model.classes) > 6000
+
+
+def test_rare_words_move_the_words_after_them_and_have_buckets(docs, monkeypatch):
+    monkeypatch.setattr(maxent_lm, "HEAD", 8)
+    lines = [f"rare{k % 400} {'north' if k % 2 else 'south'} by the way" for k in range(4000)]
+    scorer = MaxentScorer(docs(*lines))
+    assert scorer.buckets > 1
+    told = docs("rare7 north by the way", "rare7 south by the way")
+    fit, misfit = (x["score"] for x in scorer.score(told).orderBy("doc_id").collect())
+    assert fit > misfit
