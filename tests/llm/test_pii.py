@@ -90,3 +90,12 @@ def test_main_path_runs_no_python(docs):
     for out in (vote_patterns(frame), with_spans(frame, {"bias": 1.0, "kind secret": 0.5, "0 1": 1.0}), redact(frame, None)):
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def test_a_secret_may_begin_with_many_letters(docs):
+    late = "Abcdef-Ghij_klmn" * 4 + "9182xy" + "7736"
+    frame = docs(f'word token = "{late}" word', f'word token = "{"a" * 100_000}" word', "b" * 100_000 + "1234")
+    rows = redact(frame, {"bias": 1.0}).orderBy("doc_id").collect()
+    assert rows[0]["text"] == 'word token = "<SECRET>" word'
+    assert rows[1]["text"] == f'word token = "{"a" * 100_000}" word'
+    assert rows[2]["text"] == "<SECRET>"
