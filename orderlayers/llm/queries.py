@@ -19,6 +19,9 @@ from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
 from orderlayers.llm.prefix_tokens import token_counts
 from orderlayers.llm.quality import grade_documents, train_grade_model
+from orderlayers.llm.spotsigs import compare_edited
+from orderlayers.llm.token_alignment import Aligned
+from orderlayers.llm.whitening import whiten_embeddings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,6 +88,23 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grade_documents(docs, train_grade_model(docs, table(spark, sf_dir, "labels")))
 
 
+def op11_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every document, of its edited text, and their likeness."""
+    return compare_edited(table(spark, sf_dir, "documents"))
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the sixteen largest components of the covariance, whitened."""
+    return whiten_embeddings(table(spark, sf_dir, "embeddings"), components=16)
+
+
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned in every document."""
+    docs = table(spark, sf_dir, "documents")
+    paths = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    return Aligned(docs, *paths).digests(docs)
+
+
 def _ready(query: Query) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         ship_package(spark)
@@ -107,6 +127,9 @@ QUERIES: dict[str, Query] = {
         op8_minhash,
         op9_token_counts,
         op10_quality,
+        op11_fingerprints,
+        op12_whitening,
+        op13_token_alignment,
     )
 }
 
