@@ -21,6 +21,7 @@ repeat count each; a NULL ``doc_id`` is a row like any other; other columns are
 from __future__ import annotations
 
 import hashlib
+import itertools
 import json
 import unicodedata
 import uuid
@@ -258,10 +259,11 @@ class Aligned:
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                values = batch.column(0).flatten()
-                if len(values):
-                    pairs, counts = np.unique(values.to_numpy(), return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], ["pair", "n"])
+                for part in _by_links(batch, 0):
+                    values = part.column(0).flatten()
+                    if len(values):
+                        pairs, counts = np.unique(values.to_numpy(), return_counts=True)
+                        yield pa.RecordBatch.from_arrays([pa.array(pairs), pa.array(counts)], ["pair", "n"])
 
         parts = linked.select("links").mapInArrow(work, "pair int, n long")
         counts = stored(parts.groupBy("pair").agg(F.sum("n").alias("n")), "alignment-counts")
@@ -285,8 +287,8 @@ class Aligned:
 
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names, counts, best = known.value
-            for batch in batches:
-                column = batch.column(batch.schema.get_field_index("links"))
+            for batch in itertools.chain.from_iterable(_by_links(b, len(kept)) for b in batches):
+                column = batch.column(len(kept))
                 sizes = column.value_lengths().to_numpy()
                 values = column.flatten().to_numpy()
                 owner = np.repeat(np.arange(len(sizes)), sizes)
@@ -303,7 +305,7 @@ class Aligned:
                 marks = np.concatenate([[0], np.cumsum(np.bincount(owner[rare], minlength=len(sizes)))])
                 yield pa.RecordBatch.from_arrays(
                     [
-                        *[batch.column(batch.schema.get_field_index(c)) for c in kept],
+                        *[batch.column(k) for k in range(len(kept))],
                         pa.array(bests),
                         pa.array(sums),
                         pa.ListArray.from_arrays(pa.array(marks.astype(np.int32)), pa.array(values[rare])),
@@ -316,7 +318,7 @@ class Aligned:
             "row long, doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, "
             "n_best long, count_sum long, rare array<int>"
         )
-        summed = stored(linked.mapInArrow(work, schema), "alignment-sums")
+        summed = stored(linked.select(*kept, "links").mapInArrow(work, schema), "alignment-sums")
         rare = (
             summed.select("row", F.explode("rare").alias("pair"))
             .join(pairs, "pair")
@@ -333,6 +335,13 @@ class Aligned:
         )
 
 
+def _by_links(batch: pa.RecordBatch, column: int, limit: int = 1 << 18) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch that hold about ``limit`` links each, or one longer row."""
+    ends = np.concatenate([[0], np.cumsum(batch.column(column).value_lengths().to_numpy(zero_copy_only=False))])
+    for first, last in slices(ends, limit):
+        yield batch.slice(first, last - first)
+
+
 _aligners: dict[str, _Aligner] = {}
 
 
