@@ -26,12 +26,13 @@ ids come last. A lone document is the one after itself. Other columns are not re
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -42,6 +43,8 @@ from orderlayers.llm.common import ALNUM, id_and_text, mix, stored, text_slices,
 ANCHOR_SHARE, CHAIN = 1 / 1024, 2
 #: Words in a task's summary.
 SUMMARY = 8192
+#: Ranges of documents for each shuffle partition, so that these get about equally many rows.
+RANGES = 8
 #: Bytes of a signature.
 WIDTH = 6
 _MASK = np.uint64((1 << 8 * WIDTH) - 1)
@@ -142,13 +145,6 @@ def as_text(signatures: np.ndarray) -> str:
     return signatures.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 8 - WIDTH :].tobytes().hex()
 
 
-def as_set(fingerprint: bytes) -> np.ndarray:
-    """Signatures of a fingerprint's bytes."""
-    wide = np.zeros((len(fingerprint) // WIDTH, 8), np.uint8)
-    wide[:, 8 - WIDTH :] = np.frombuffer(fingerprint, np.uint8).reshape(-1, WIDTH)
-    return wide.reshape(-1).view(">u8").astype(np.uint64)
-
-
 def likeness(a: np.ndarray, b: np.ndarray, least: float = 0.0) -> float:
     """Jaccard similarity of two sorted sets; 0 where their sizes alone keep it below ``least``."""
     small, large = sorted((len(a), len(b)))
@@ -182,158 +178,140 @@ def fingerprints(docs: DataFrame, anchors: np.ndarray) -> DataFrame:
     return id_and_text(docs).mapInArrow(work, "doc_id long, fingerprint string")
 
 
-def _packed(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, n_chars, packed): texts compressed, so that moving them costs less than half."""
-    texts = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in batches:
-            sizes = pa.compute.utf8_length(batch.column(1)).cast(pa.int64())
-            packed = [squeeze(t.as_buffer()) for t in batch.column(1)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(2), batch.column(0), sizes, pa.array(packed, pa.binary())],
-                ["key", "doc_id", "n_chars", "packed"],
-            )
+def _ranges(keys: DataFrame) -> list[tuple]:
+    """The first document of each of the ranges that ``keys`` (doc_id, key) are cut into, in order.
 
-    return texts.mapInArrow(work, "key long, doc_id long, n_chars long, packed binary")
+    Only these come to the driver, ``RANGES`` for a shuffle partition.
+    """
+    parts = RANGES * int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [F.col("doc_id").desc_nulls_last(), F.col("key")]
+    ranged = keys.repartitionByRange(parts, *order).select(
+        F.spark_partition_id().alias("part"),
+        F.struct(F.col("doc_id").isNull().alias("none"), (-F.col("doc_id")).alias("falling"), "key").alias("place"),
+    )
+    firsts = ranged.groupBy("part").agg(F.min("place").alias("place")).select("place.*").collect()
+    return sorted((row["none"], row["falling"] or 0, row["key"]) for row in firsts)
 
 
-def _followers(keys: DataFrame) -> DataFrame:
-    """(key, n_chars, next_key): the document after each one by falling doc_id, the first after the last.
+def _packed(docs: DataFrame, firsts) -> DataFrame:
+    """Texts, compressed so that moving them costs less than half, with the range they belong to.
 
-    Sorted range by range; only the two ends of each range come to the driver.
+    Rows that repeat within a batch become one. The first document of a range is sent as a guest to
+    the range before as well, the first of all to the last one.
     """
-    spark = keys.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = [F.col("doc_id").desc_nulls_last(), F.col("key")]
+    texts = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    texts = texts.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("key"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        open_key, first_key = None, None
+        squeeze, bounds = zstandard.ZstdCompressor(level=3).compress, firsts.value
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            own, sizes = batch.column(0), batch.column(1)
-            part = batch.column(2)
-            later = pa.concat_arrays([own.slice(1), pa.nulls(1, pa.int64())])
-            if open_key is None:
-                first_key = own[0].as_py()
-            else:
-                yield pa.RecordBatch.from_pylist([{**open_key, "next_key": own[0].as_py()}], schema)
-            last = batch.num_rows - 1
-            open_key = {
-                "key": own[last].as_py(), "n_chars": sizes[last].as_py(), "next_key": None,
-                "part": part[last].as_py(), "first_key": first_key,
-            }
-            yield pa.RecordBatch.from_arrays(
-                [own.slice(0, last), sizes.slice(0, last), later.slice(0, last), part.slice(0, last), pa.nulls(last, pa.int64())],
-                schema=schema,
-            )
-        if open_key is not None:
-            yield pa.RecordBatch.from_pylist([open_key], schema)
+            ids, keys = batch.column(0).to_pylist(), batch.column(2).to_pylist()
+            copies: dict[tuple, list[int]] = {}
+            for k, place in enumerate((d is None, -(d or 0), key) for d, key in zip(ids, keys)):
+                copies.setdefault(place, [k, 0])[1] += 1
+            rows = []
+            for place, (k, n) in copies.items():
+                part = bisect.bisect_right(bounds, place) - 1
+                row = {"doc_id": ids[k], "key": keys[k], "copies": n, "packed": squeeze(batch.column(1)[k].as_buffer())}
+                rows.append({"part": part, "guest": False, **row})
+                if bounds[part] == place:
+                    rows.append({"part": (part - 1) % len(bounds), "guest": True, **row})
+            yield pa.RecordBatch.from_pylist(rows, schema)
 
     schema = pa.schema(
-        [("key", pa.int64()), ("n_chars", pa.int64()), ("next_key", pa.int64()), ("part", pa.int32()), ("first_key", pa.int64())]
-    )
-    ranged = (
-        keys.repartitionByRange(parts, *order)
-        .sortWithinPartitions(*order)
-        .select("key", "n_chars", F.spark_partition_id().alias("part"))
-    )
-    followed = stored(
-        ranged.mapInArrow(work, "key long, n_chars long, next_key long, part int, first_key long"), "spot-order"
-    )
-    ends = sorted(followed.filter("next_key is null").select("part", "key", "first_key").collect())
-    after = [(row["key"], ends[(k + 1) % len(ends)]["first_key"]) for k, row in enumerate(ends)]
-    edges = F.broadcast(spark.createDataFrame(after, "key long, after long"))
-    return followed.join(edges, "key", "left").select(
-        "key", "n_chars", F.coalesce("next_key", "after").alias("next_key")
+        [
+            ("part", pa.int64()), ("guest", pa.bool_()), ("doc_id", pa.int64()), ("key", pa.int64()),
+            ("copies", pa.int64()), ("packed", pa.binary()),
+        ]
     )
+    return texts.mapInArrow(work, "part long, guest boolean, doc_id long, key long, copies long, packed binary")
+
+
+@dataclass
+class _Document:
+    part: int
+    guest: bool
+    doc_id: int | None
+    key: int
+    copies: int
+    text: str
+
+
+def _documents(batches: Iterator[pa.RecordBatch]) -> Iterator[_Document]:
+    """The documents of sorted batches; rows of one document become one."""
+    loosen = zstandard.ZstdDecompressor().decompress
+    last = None
+    for batch in batches:
+        columns = [batch.column(k).to_pylist() for k in range(5)]
+        for k, (part, guest, doc_id, key, copies) in enumerate(zip(*columns)):
+            if last and (last.part, last.guest, last.doc_id, last.key) == (part, guest, doc_id, key):
+                last.copies += copies
+                continue
+            if last:
+                yield last
+            last = _Document(part, guest, doc_id, key, copies, loosen(batch.column(5)[k].as_buffer()).decode())
+    if last:
+        yield last
+
+
+def _runs(documents: Iterator[_Document], limit: int = 1 << 20) -> Iterator[list[_Document]]:
+    """Lists of about ``limit`` characters; each begins with the last document of the one before."""
+    run, size = [], 0
+    for document in documents:
+        run.append(document)
+        size += len(document.text)
+        if size >= limit and len(run) > 1:
+            yield run
+            run, size = run[-1:], len(document.text)
+    if len(run) > 1:
+        yield run
 
 
 def compare_edited(docs: DataFrame, anchors: np.ndarray | None = None) -> DataFrame:
     """Each document's fingerprint against that of its edited text and of the next document.
 
-    The edited text has its last third replaced by the beginning of the next document. Texts move
-    once, compressed, to be reduced to one a document and to send their beginnings on.
+    The edited text has its last third replaced by the beginning of the next document. Documents
+    are cut into ranges of doc_id, and texts move once, compressed, into their range's order.
     """
     if anchors is None:
         anchors = common_words(docs)
-    shared = docs.sparkSession.sparkContext.broadcast(anchors)
+    context = docs.sparkSession.sparkContext
     texts = id_and_text(docs).select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    keys = texts.select("doc_id", F.xxhash64("doc_id", "text").alias("key"), F.char_length("text").cast("long").alias("n_chars"))
-    keys = stored(keys.groupBy("doc_id", "key").agg(F.first("n_chars").alias("n_chars")), "spot-keys")
-    links = stored(
-        _followers(keys).select(F.col("next_key").alias("key"), F.col("key").alias("before"), F.floor(F.col("n_chars") / 3).alias("need")),
-        "spot-links",
-    )
-    single = (
-        _packed(docs).groupBy("key")
-        .agg(F.first(F.struct("doc_id", "n_chars", "packed")).alias("doc"), F.count(F.lit(1)).alias("copies"))
-        .select("key", "doc.*", "copies")
-    )
-
-    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        squeeze, loosen = zstandard.ZstdCompressor(level=1).compress, zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for low, high in _packs(batch.column(0)):
-                found = [loosen(p.as_buffer()).decode() for p in batch.column(0).slice(low, high - low)]
-                needs = batch.column(2).slice(low, high - low).to_pylist()
-                sets = _sets_of(found, shared.value)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(1).slice(low, high - low),
-                        pa.array([squeeze(t[:n].encode()) for t, n in zip(found, needs)], pa.binary()),
-                        pa.array([bytes.fromhex(as_text(s)) for s in sets], pa.binary()),
-                    ],
-                    ["key", "head", "next"],
-                )
-
-    beginnings = single.select("key", "packed").join(links, "key").select("packed", "before", "need")
-    beginnings = beginnings.mapInArrow(heads, "key long, head binary, next binary")
+    keys = stored(texts.select("doc_id", F.xxhash64("doc_id", "text").alias("key")).distinct(), "spot-keys")
+    known, firsts = context.broadcast(anchors), context.broadcast(_ranges(keys))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        loosen = zstandard.ZstdDecompressor().decompress
-        for batch in batches:
-            for low, high in _packs(batch.column(2)):
-                part = batch.slice(low, high - low)
-                own = [loosen(p.as_buffer()).decode() for p in part.column(2)]
-                edited = []
-                for text, head, size in zip(own, part.column(4), part.column(1).to_pylist()):
-                    edited.append(text[: size - size // 3] + loosen(head.as_buffer()).decode())
-                own_sets, edited_sets = _sets_of(own, shared.value), _sets_of(edited, shared.value)
-                following = [as_set(n.as_py()) for n in part.column(5)]
-                rows = np.repeat(np.arange(len(own)), part.column(3).to_numpy())
-                columns = [
-                    part.column(0),
-                    part.column(1),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for t in edited], pa.string()),
-                    pa.array(map(as_text, own_sets), pa.string()),
-                    pa.array(map(as_text, edited_sets), pa.string()),
-                    pa.array(map(likeness, own_sets, edited_sets), pa.float64()),
-                    pa.array(map(likeness, own_sets, following), pa.float64()),
-                ]
-                yield pa.RecordBatch.from_arrays([c.take(pa.array(rows)) for c in columns], names)
-
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+        for run in _runs(_documents(batches)):
+            sets = _sets_of([d.text for d in run], known.value)
+            pairs = [(k, d) for k, d in enumerate(run[:-1]) if not d.guest]
+            edited = [d.text[: len(d.text) - len(d.text) // 3] + run[k + 1].text[: len(d.text) // 3] for k, d in pairs]
+            rows = []
+            for (k, d), text, other in zip(pairs, edited, _sets_of(edited, known.value)):
+                row = {
+                    "doc_id": d.doc_id,
+                    "n_chars": len(d.text),
+                    "edited_sha256": hashlib.sha256(text.encode()).hexdigest(),
+                    "fingerprint": as_text(sets[k]),
+                    "edited_fingerprint": as_text(other),
+                    "near_edited": likeness(sets[k], other),
+                    "near_next": likeness(sets[k], sets[k + 1]),
+                }
+                rows += [row] * d.copies
+            yield pa.RecordBatch.from_pylist(rows, result)
+
+    result = pa.schema(
+        [
+            ("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+            ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()), ("near_next", pa.float64()),
+        ]
+    )
     schema = (
         "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, "
         "near_edited double, near_next double"
     )
-    both = single.join(beginnings, "key")
-    return both.select("doc_id", "n_chars", "packed", "copies", "head", "next").mapInArrow(compare, schema)
-
-
-def _packs(column: pa.Array, limit: int = 1 << 18) -> Iterator[tuple[int, int]]:
-    """Row ranges that hold about ``limit`` compressed bytes each, or one longer row."""
-    ends = np.cumsum(pa.compute.binary_length(column).to_numpy())
-    first = 0
-    while first < len(ends):
-        before = ends[first - 1] if first else 0
-        last = max(int(np.searchsorted(ends, before + limit, "right")), first + 1)
-        yield first, last
-        first = last
+    placed = _packed(docs, firsts).repartition("part")
+    ordered = placed.sortWithinPartitions("part", "guest", F.col("doc_id").desc_nulls_last(), "key")
+    return ordered.mapInArrow(compare, schema)
 
 
 def length_partition(size: int, percent: int) -> int:
