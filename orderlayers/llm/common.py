@@ -26,15 +26,21 @@ _INVERSE = np.uint64(pow(int(_MULTIPLIER), -1, 1 << 64))
 _BYTE_VALUES = np.random.default_rng(20240607).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
-_shipped: set[int] = set()
+#: Rows that a Python task gets at once, unless the session says otherwise: texts are long, and
+#: a batch stands in the memory of the executor and of its worker several times.
+BATCH_SETTING, BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", 1024
+
+_shipped: set[str] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
     """Let Python workers import this package where it is on the driver's path alone."""
+    if spark.conf.get(BATCH_SETTING, None) is None:
+        spark.conf.set(BATCH_SETTING, BATCH_ROWS)
     root = Path(__file__).resolve().parents[2]
     places = [os.getcwd(), *os.environ.get("PYTHONPATH", "").split(os.pathsep)]
     context = spark.sparkContext
-    if str(root) in map(os.path.abspath, places) or id(context) in _shipped:
+    if str(root) in map(os.path.abspath, places) or context.applicationId in _shipped:
         return
     folder = tempfile.mkdtemp(prefix="orderlayers-ship-")
     atexit.register(shutil.rmtree, folder, ignore_errors=True)
@@ -43,7 +49,7 @@ def ship_package(spark: SparkSession) -> None:
         for file in sorted((root / "orderlayers").rglob("*.py")):
             out.write(file, file.relative_to(root))
     context.addPyFile(package)
-    _shipped.add(id(context))
+    _shipped.add(context.applicationId)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -163,12 +169,16 @@ _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _power_tables(size: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_powers[0]) < size:
-        for k, base in enumerate((_MULTIPLIER, _INVERSE)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _powers[k] = np.cumprod(steps, dtype=np.uint64)
-    return _powers[0], _powers[1]
+    if len(_powers[0]) >= size:
+        return _powers[0], _powers[1]
+    tables = []
+    for base in (_MULTIPLIER, _INVERSE):
+        steps = np.full(size, base, np.uint64)
+        steps[0] = 1
+        tables.append(np.cumprod(steps, dtype=np.uint64))
+    if size <= 2 * SLICE_BYTES:  # those of a very long text are not kept
+        _powers[:] = tables
+    return tables[0], tables[1]
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -218,5 +228,25 @@ def row_key() -> F.Column:
 
 def drop_rows(docs: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """The rows of ``docs`` whose ``row_key`` is not among ``keys``, columns as they were."""
-    gone = keys.select(F.col(key).alias("__gone"))
-    return docs.join(gone, row_key() == F.col("__gone"), "left_anti")
+    gone = free_name(docs)
+    return docs.join(keys.select(F.col(key).alias(gone)), row_key() == F.col(gone), "left_anti")
+
+
+def free_name(docs: DataFrame) -> str:
+    """A column name that ``docs`` does not have."""
+    taken = {name.lower() for name in docs.columns}
+    return next(n for k in range(len(taken) + 1) if (n := f"extra_{k}") not in taken)
+
+
+def first_of_each(docs: DataFrame) -> DataFrame:
+    """One row of those that repeat both id and text, columns as they were.
+
+    Rows that repeat nothing are not moved; of the others a task sends one for each key.
+    """
+    key = free_name(docs)
+    keyed = docs.withColumn(key, row_key())
+    again = stored(keyed.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select(key), "repeated-rows")
+    alone = keyed.join(again, key, "left_anti").drop(key)
+    names = [f"`{n}`" for n in docs.columns]
+    one = keyed.join(again, key, "left_semi").groupBy(key).agg(F.first(F.struct(*names)).alias("row"))
+    return alone.unionByName(one.select("row.*"))

@@ -35,6 +35,7 @@ from orderlayers.llm.common import (
     SPACED,
     bit_filter,
     drop_rows,
+    first_of_each,
     gram_hashes,
     id_and_text,
     in_filter,
@@ -193,7 +194,7 @@ def minhash_components(
     ``component_id`` is the smallest doc_id reachable by links, ``kept`` whether it is the
     document's own (true as well for a NULL id). ``row_key`` is the row whatever its id.
     """
-    texts = id_and_text(docs.withColumn("__key", row_key()), "__key")
+    texts = id_and_text(docs, row_key().alias("row_key"))
     schema = T.StructType(
         [
             T.StructField("doc_id", T.LongType()),
@@ -253,13 +254,23 @@ def minhash_components(
 
 
 def keep_one_of_each(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` whose document stays, one of each component, columns as they were.
+    """One row of each component of ``docs`` (doc_id, text), columns as they were.
 
-    Rows that repeat both id and text are one document.
+    Documents are compared whatever their ids, repeated and NULL ones included; the smallest
+    doc_id stays, NULL ids come last. Texts without a word have no near copies.
     """
-    found = minhash_components(docs, n, percent)
-    gone = stored(found.filter(~F.col("kept")).select("row_key").distinct(), "minhash-gone")
-    return drop_rows(docs, gone, "row_key")
+    keys = id_and_text(docs, row_key().alias("key"))
+    found = minhash_components(keys.select(F.col("key").alias("doc_id"), "text"), n, percent)
+    placed = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")
+    named = stored(
+        found.select(F.col("doc_id").alias("key"), "component_id").distinct()
+        .join(keys.select("key", "doc_id").distinct(), "key")
+        .select("component_id", placed.alias("place")),
+        "minhash-places",
+    )
+    staying = named.groupBy("component_id").agg(F.min("place").alias("first"))
+    gone = named.join(staying, "component_id").filter("place <> first").select(F.col("place.key").alias("key"))
+    return first_of_each(drop_rows(docs, stored(gone, "minhash-gone"), "key"))
 
 
 def _component_names(classes: DataFrame, roots: DataFrame | None) -> DataFrame:

@@ -26,6 +26,7 @@ from __future__ import annotations
 import heapq
 import itertools
 import re
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -191,7 +192,7 @@ class PrefixCounter:
         return counts
 
 
-_counters: dict[int, PrefixCounter] = {}
+_counters: dict[str, PrefixCounter] = {}
 
 
 def _counter(pieces) -> PrefixCounter:
@@ -208,7 +209,7 @@ class _Shared:
         with open(path, "rb") as file:
             pieces = Pieces(file.read())
         self.broadcast = spark.sparkContext.broadcast(pieces)
-        self.id = id(self.broadcast)
+        self.id = uuid.uuid4().hex
 
     @property
     def value(self) -> Pieces:

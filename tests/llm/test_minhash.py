@@ -67,3 +67,16 @@ def test_sketches_fill_every_bin_and_estimate_similarity():
     found = sketches(np.concatenate([a, b, one]), np.array([900, 900, 1]), 400)
     assert (found != 0xFFFFFFFFFFFFFFFF).all()
     assert abs((found[0] == found[1]).mean() - 0.8) < 0.08
+
+
+def test_stage_keeps_one_row_of_repeated_and_null_ids(docs):
+    text = " ".join(f"t{k}" for k in range(60))
+    frame = docs((1, text), (1, text), (None, text), (None, text), (2, text))
+    frame = frame.withColumn("__gone", frame.doc_id).withColumn("key", frame.text).withColumn("extra_0", frame.text)
+    kept = keep_one_of_each(frame)
+    assert kept.columns == frame.columns
+    assert [x["doc_id"] for x in kept.collect()] == [1]
+    rows = [(None, text), (None, text + " more"), (None, "other"), (None, "other"), (4, None), (4, None), (5, ""), (6, "")]
+    kept = sorted(str(x["doc_id"]) for x in keep_one_of_each(docs(*rows)).collect())
+    assert kept == ["4", "5", "6", "None", "None"]
+    assert keep_one_of_each(docs((1, "x")).limit(0)).count() == 0

@@ -36,5 +36,13 @@ def test_stages_work_on_what_is_left_and_their_decisions_take_effect(spark, smal
 
 
 def test_run_and_registration(spark, small):
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in QUERIES}
     assert corpus_pipeline.run(spark, small).columns == ["doc_id", "n_tokens", "ids", "decoded_sha256"]
+
+
+def test_stages_on_empty_tables(spark, small, small_docs):
+    frame = small_docs.limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        frame = stored(stage(spark, frame, small), name)
+        assert frame.count() == 0
+        assert name == "tokens" or frame.columns == small_docs.columns
