@@ -6,6 +6,7 @@ from orderlayers.operators.classify import (
     classify_accepted,
     classify_quarantined,
     quarantined,
+    routed,
     with_status,
 )
 from orderlayers.operators.counts import (
@@ -30,6 +31,6 @@ __all__ = [
     "accepted", "audit_rows", "classify", "classify_accepted", "classify_quarantined",
     "error_rows", "latest_per_key", "merge_counts",
     "merge_latest", "number_rows", "pack", "quarantine_reasons", "quarantined", "rates",
-    "repair_fields", "repair_headers", "source_summary", "status_counts", "unpack",
+    "repair_fields", "repair_headers", "routed", "source_summary", "status_counts", "unpack",
     "upsert_counts", "validate", "with_positions", "with_status",
 ]

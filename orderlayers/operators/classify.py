@@ -51,6 +51,13 @@ def quarantined(df: DataFrame) -> DataFrame:
     return _keyed(rows, fn.quarantine_key())
 
 
+def routed(df: DataFrame) -> DataFrame:
+    """All rows of a classified frame under their keys, with the ``layer`` each one goes to."""
+    held = fn.is_quarantined(F.col("record_status"))
+    rows = _keyed(df, F.when(held, fn.quarantine_key()).otherwise(fn.validated_key()))
+    return rows.withColumn("layer", F.when(held, S.QUARANTINE).otherwise(S.VALIDATED))
+
+
 def classify_accepted(df: DataFrame) -> DataFrame:
     """``accepted(classify(df))`` that turns the other rows away before repairing any.
 

@@ -10,14 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from orderlayers import schema as S
-from orderlayers.operators.classify import (
-    accepted,
-    classify,
-    classify_accepted,
-    classify_quarantined,
-    quarantined,
-)
+from orderlayers.operators.classify import classify, routed
 from orderlayers.operators.counts import rates, source_summary
+from orderlayers.session import scratch_path, setting
+from orderlayers.sources.frames import remove_path
 from orderlayers.sources.keyed_layers import upsert
 from orderlayers.sources.raw_layer import read_raw
 from orderlayers.sources.reports import append_report
@@ -46,22 +42,27 @@ def run_elt(
     The whole raw layer is read unless ``run_ids`` names the ingest runs to take. Without
     raw rows nothing happens and nothing is reported.
 
-    Each layer's upsert scans the raw layer and counts what it passes on, so metrics need
-    no action of their own. ``storage`` keeps the classified rows between the two upserts
-    instead; that pays while they fit the cluster's memory.
+    The raw rows are scanned and classified once, into a work table with a folder for each
+    layer; the upserts read their own folder of it and count what they pass on. The table goes
+    when they are done. ``storage`` keeps the classified rows in Spark's storage instead; that
+    pays while they fit the cluster's memory.
     """
     started = time.monotonic()
-    raw = read_raw(spark, base, run_ids)
-    source = source_summary(raw).first()
-    if source["rows_read"] == 0:
-        return None
-    read = source["rows_read"]
+    rows = routed(classify(read_raw(spark, base, run_ids)))
     if storage is None:
-        bad, good = classify_quarantined(raw), classify_accepted(raw)
+        work = scratch_path(spark, "elt-routed")
+        # Each task keeps one open file a layer, and so need not sort its wide rows by layer.
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", 2):
+            rows.write.partitionBy("layer").parquet(work)
+        kept = spark.read.schema(rows.schema).parquet(work)
     else:
-        classified = classify(raw).persist(storage)
-        bad, good = quarantined(classified), accepted(classified)
+        kept = rows.persist(storage)
     try:
+        source = source_summary(kept).first()
+        if source["rows_read"] == 0:
+            return None
+        read = source["rows_read"]
+        bad, good = (kept.filter(F.col("layer") == x).drop("layer") for x in (S.QUARANTINE, S.VALIDATED))
         held = upsert(
             spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read
         )
@@ -69,8 +70,10 @@ def run_elt(
             spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read
         )
     finally:
-        if storage is not None:
-            classified.unpersist()
+        if storage is None:
+            remove_path(spark, work)
+        else:
+            kept.unpersist()
 
     reasons = {name: held[name] for name in S.QUARANTINE_STATUSES if held[name]}
     seconds, throughput = rates(read, time.monotonic() - started)

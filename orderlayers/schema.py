@@ -136,5 +136,10 @@ PUBLICATION = T.StructType(
         T.StructField("buckets", T.IntegerType()),
         T.StructField("run_id", T.StringType()),
         T.StructField("published_at", T.TimestampType()),
+        # Rows of the layer; the versions that hold its buckets, and for each bucket the place
+        # of its own among them, both comma-joined.
+        T.StructField("rows", T.LongType()),
+        T.StructField("holders", T.StringType()),
+        T.StructField("held_by", T.StringType()),
     ]
 )

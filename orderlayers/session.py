@@ -50,6 +50,20 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str | int) -> Iterator[None]:
+    """A session setting that holds inside the block."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 @contextmanager
 def pinned_splits(spark: SparkSession) -> Iterator[None]:
     """Keep file splits the same for every scan inside the block.

@@ -32,6 +32,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_or_empty(
     spark: SparkSession, reader: DataFrameReader, form: str, path: str, schema: T.StructType
 ) -> DataFrame:

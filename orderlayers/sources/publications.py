@@ -3,6 +3,9 @@
 Every run writes a fresh folder and then appends one row naming it; the newest row is
 current. A run that dies before the append leaves readers on the old version, and its
 folder is simply never named. One writer per layer at a time is assumed.
+
+A run may write some buckets of a keyed layer only: its row then says for each bucket which
+version's folder holds it.
 """
 
 from __future__ import annotations
@@ -20,8 +23,12 @@ def _log_path(base: str, layer: str) -> str:
     return f"{base.rstrip('/')}/{layer}/versions"
 
 
+def data_path(base: str, layer: str) -> str:
+    return f"{base.rstrip('/')}/{layer}/data"
+
+
 def version_path(base: str, layer: str, version: str) -> str:
-    return f"{base.rstrip('/')}/{layer}/data/{version}"
+    return f"{data_path(base, layer)}/{version}"
 
 
 def new_version() -> str:
@@ -39,9 +46,26 @@ def current_version(spark: SparkSession, base: str, layer: str) -> Row | None:
     return publications(spark, base, layer).agg(newest).first()["newest"]
 
 
+def bucket_holders(publication: Row) -> list[str]:
+    """The version that holds each bucket."""
+    names = publication["holders"].split(",")
+    return [names[int(place)] for place in publication["held_by"].split(",")]
+
+
 def publish(
-    spark: SparkSession, base: str, layer: str, version: str, buckets: int, run_id: str | None
+    spark: SparkSession,
+    base: str,
+    layer: str,
+    version: str,
+    buckets: int,
+    run_id: str | None,
+    rows: int = 0,
+    held_by: list[str] | None = None,
 ) -> None:
+    """Make ``version`` current; ``held_by`` names the version of each bucket, by default this one."""
+    held_by = held_by or [version] * buckets
+    holders = sorted(set(held_by))
+    place = {name: str(k) for k, name in enumerate(holders)}
     current = current_version(spark, base, layer)
     row = {
         "seq": current["seq"] + 1 if current else 1,
@@ -49,26 +73,40 @@ def publish(
         "buckets": buckets,
         "run_id": run_id,
         "published_at": F.current_timestamp(),
+        "rows": rows,
+        "holders": ",".join(holders),
+        "held_by": ",".join(place[name] for name in held_by),
     }
     one_row(spark, S.PUBLICATION, row).write.mode("append").json(_log_path(base, layer))
 
 
 def drop_old_versions(spark: SparkSession, base: str, layer: str, keep: int = 1) -> list[str]:
-    """Delete a layer's data folders but the ``keep`` newest published; return their names.
+    """Delete the data that none of the ``keep`` newest publications needs; return the folders' versions.
 
-    Folders of runs that died go too, so no run may be writing the layer meanwhile. A layer
-    that never published anything is left alone.
+    Folders of runs that died go too, so no run may be writing the layer meanwhile. Of a folder
+    that is still needed for some of its buckets, the others go. A layer that never published
+    anything is left alone.
     """
-    newest = publications(spark, base, layer).orderBy(F.desc("seq")).limit(max(keep, 1))
-    kept = {row["version"] for row in newest.select("version").collect()}
-    data = f"{base.rstrip('/')}/{layer}/data"
-    if not kept or not path_exists(spark, data):
+    newest = publications(spark, base, layer).orderBy(F.desc("seq")).limit(max(keep, 1)).collect()
+    needed: dict[str, set[str]] = {row["version"]: set() for row in newest}
+    for row in newest:
+        for bucket, version in enumerate(bucket_holders(row) if row["buckets"] else ()):
+            needed.setdefault(version, set()).add(str(bucket))
+    data = data_path(base, layer)
+    if not needed or not path_exists(spark, data):
         return []
     folder = spark._jvm.org.apache.hadoop.fs.Path(data)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     dropped = []
     for entry in files.listStatus(folder):
-        name = entry.getPath().getName()
-        if name not in kept and files.delete(entry.getPath(), True):
-            dropped.append(name)
+        _, partitioned, version = entry.getPath().getName().rpartition("=")
+        if not entry.isDirectory():
+            continue
+        if version not in needed:
+            if files.delete(entry.getPath(), True):
+                dropped.append(version)
+        elif partitioned:
+            for part in files.listStatus(entry.getPath()):
+                if part.getPath().getName().rpartition("=")[2] not in needed[version]:
+                    files.delete(part.getPath(), True)
     return dropped

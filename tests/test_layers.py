@@ -120,7 +120,7 @@ def test_nothing_incoming_publishes_nothing(spark, base, kept):
     upsert(spark, base, S.VALIDATED, kept, "r2")
     counts = upsert(spark, base, S.VALIDATED, kept.filter("city = 'nowhere'"), "r3")
     assert counts["incoming_keys"] == 0 and counts["layer_rows"] == 1351
-    assert len(os.listdir(f"{base}/{S.VALIDATED}/data")) == 1
+    assert len(_files(base)) == 1
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
 
 
@@ -296,3 +296,79 @@ def test_bucket_count_follows_size_and_never_shrinks(spark, base, kept, monkeypa
     assert buckets_after("r4", expected_rows=10**5) == 4
     assert buckets_after("r5", buckets=2) == 2
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
+
+
+def _files(base, layer=S.VALIDATED):
+    found = {}
+    for folder, _, files in os.walk(f"{base}/{layer}/data"):
+        for file in files:
+            if file.endswith(".parquet"):
+                version, bucket = re.search(r"layer_version=(\S+)/layer_bucket=(\d+)", folder).groups()
+                found.setdefault(version, set()).add(int(bucket))
+    return found
+
+
+def test_one_key_writes_one_bucket(spark, base, kept):
+    upsert(spark, base, S.VALIDATED, kept, "r1", buckets=8)
+    [first] = _files(base)
+    key = kept.orderBy("_id").first()["_id"]
+    one = kept.filter(F.col("_id") == key).withColumn("city", F.lit("Giza"))
+    counts = upsert(spark, base, S.VALIDATED, one, "r2")
+    assert (counts["inserted_keys"], counts["updated_keys"], counts["layer_rows"]) == (0, 1, 1351)
+    written = {version: places for version, places in _files(base).items() if version != first}
+    [(second, places)] = written.items()
+    assert len(places) == 1
+    expected = kept.withColumn("city", F.when(F.col("_id") == key, "Giza").otherwise(F.col("city")))
+    assert same(read_layer(spark, base, S.VALIDATED), expected.select(*S.LAYER_SCHEMA.names))
+    # A new key, and a key that moves nothing else; then the dead bucket's files go.
+    new = one.withColumn("_id", F.lit("ORD-new"))
+    counts = upsert(spark, base, S.VALIDATED, new, "r3")
+    assert (counts["inserted_keys"], counts["layer_rows"]) == (1, 1352)
+    before = read_layer(spark, base, S.VALIDATED).orderBy("_id").collect()
+    assert sum(map(len, _files(base).values())) == 10
+    drop_old_versions(spark, base, S.VALIDATED)
+    assert sum(map(len, _files(base).values())) == 8
+    assert read_layer(spark, base, S.VALIDATED).orderBy("_id").collect() == before
+    # All buckets anew once their number changes.
+    upsert(spark, base, S.VALIDATED, one, "r4", buckets=3)
+    assert read_layer(spark, base, S.VALIDATED).orderBy("_id").collect() == before
+
+
+def test_small_upsert_reads_its_buckets_only(spark, base, kept, monkeypatch):
+    upsert(spark, base, S.VALIDATED, kept, "r1", buckets=8)
+    one = kept.orderBy("_id").limit(1)
+    read = keyed_layers._read_version
+    frames = []
+    monkeypatch.setattr(keyed_layers, "_read_version", lambda *a: frames.append(read(*a)) or frames[-1])
+    upsert(spark, base, S.VALIDATED, one, "r2")
+    plan = frames[0]._jdf.queryExecution().executedPlan()
+    frames[0].collect()
+    files = re.search(r"PartitionFilters: \[.*layer_bucket", plan.toString())
+    assert files and len(set(frames[0].inputFiles())) == 8
+    assert frames[0].select(keyed_layers.bucket_of(8)).distinct().count() == 1
+
+
+def test_keys_that_change_between_two_reads_fail(spark, base, kept, monkeypatch):
+    upsert(spark, base, S.VALIDATED, kept, "r1", buckets=8)
+    other = kept.orderBy(F.desc("_id")).limit(20)
+    monkeypatch.setattr(keyed_layers, "latest_per_key", lambda *a: latest_per_key(other))
+    with pytest.raises(RuntimeError, match="other keys"):
+        upsert(spark, base, S.VALIDATED, kept.orderBy("_id").limit(1), "r2")
+    assert same(read_layer(spark, base, S.VALIDATED), kept.select(*S.LAYER_SCHEMA.names))
+
+
+def test_elt_scans_the_raw_layer_once(spark, base, small, monkeypatch):
+    elt_on(spark, base, small)
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    from orderlayers.plans import elt
+
+    raw = read_raw(spark, base)
+    monkeypatch.setattr(elt, "read_raw", lambda *a: raw.mapInArrow(counted, raw.schema))
+    assert run_elt(spark, base, "r1")["rows_read"] == 1500
+    assert seen.value == 1500
