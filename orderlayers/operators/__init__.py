@@ -15,6 +15,7 @@ from orderlayers.operators.counts import (
     source_summary,
     status_counts,
 )
+from orderlayers.operators.currency import with_standard_currency
 from orderlayers.operators.envelope import pack, unpack
 from orderlayers.operators.headers import repair_headers
 from orderlayers.operators.merge import (
@@ -32,5 +33,5 @@ __all__ = [
     "error_rows", "latest_per_key", "merge_counts",
     "merge_latest", "number_rows", "pack", "quarantine_reasons", "quarantined", "rates",
     "repair_fields", "repair_headers", "routed", "source_summary", "status_counts", "unpack",
-    "upsert_counts", "validate", "with_positions", "with_status",
+    "upsert_counts", "validate", "with_positions", "with_standard_currency", "with_status",
 ]

@@ -158,6 +158,9 @@ def oracle_sql() -> dict[str, str]:
             ]
         ),
         "validation_errors": f"{_DIRTY} {_errors(_RULES)}",
+        "validation_report": f"{_DIRTY} SELECT k + 1 AS source_row_number, concat_ws('; ', "
+        + ", ".join(f"CASE WHEN {rule} THEN '{message}' END" for message, rule in _RULES.items())
+        + ") AS errors FROM dirty",
         "validation_flags": f"{_DIRTY} SELECT k + 1 AS source_row_number, order_id, "
         f"NOT ({_ANY_ERROR}) AS is_clean_record FROM dirty",
         "validation_missing_columns": f"{_DIRTY} "
@@ -193,6 +196,12 @@ def oracle_sql() -> dict[str, str]:
         f"{_FIELDS} FROM filed",
         "stream_batches": f"{_FILE} SELECT count(*) AS row_count, count(*) AS rows_in_batches "
         "FROM filed",
+        "stream_resumed": f"{_FILE} SELECT 's1' AS run_id, {_FIELDS}, 1::BIGINT AS batches_before, "
+        "true AS more_after FROM filed",
+        "upsert_one_key": f"{_DONE}, kept AS (SELECT * REPLACE (CASE WHEN order_id = ("
+        f"SELECT min(order_id) FROM done WHERE {_ACCEPTED}) THEN 'CITY-2' ELSE city END AS city) FROM done "
+        f"WHERE {_ACCEPTED}) SELECT order_id AS _id, {_FIELDS}, rule_codes, record_status, "
+        "1::BIGINT AS buckets_written FROM kept",
         "latest_by_key": f"{_UPSERT_INPUT}, {_NEWEST} SELECT order_id AS _id, {_FIELDS}, "
         "rule_codes, record_status, n AS source_row_number FROM newest",
         "upsert_validated": f"{_UPSERT_INPUT}, {_NEWEST} SELECT order_id AS _id, {_FIELDS}, "
@@ -298,6 +307,18 @@ def oracle_sql() -> dict[str, str]:
             FROM newest""",
         "currency_standard": f"{_DIRTY} SELECT k, currency, upper(trim(currency)) AS standard "
         "FROM dirty",
+        "currency_aliases": """
+            SELECT o_orderkey AS k,
+                   CASE WHEN o_orderkey % 2 = 0 THEN ' ' || lower(n_name) || ' '
+                        WHEN o_orderkey % 5 = 0 THEN 'us$' WHEN o_orderkey % 5 = 1 THEN 'eur' ELSE ' ' END AS currency,
+                   CASE WHEN o_orderkey % 2 = 0 THEN 'C' || n_nationkey
+                        WHEN o_orderkey % 5 = 0 THEN 'USD' WHEN o_orderkey % 5 = 1 THEN 'EUR' END AS standard_currency
+            FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey""",
+        "order_item_totals": """
+            SELECT l_orderkey AS k, count(*) AS n_items,
+                   cast(cast(sum(cast(l_quantity AS decimal(18, 3)) * cast(l_extendedprice AS decimal(18, 2)))
+                     AS decimal(38, 2)) AS double) AS items_total
+            FROM lineitem GROUP BY 1""",
         "item_totals": f"""{_DIRTY} SELECT k, items_json,
             cast(try_cast(regexp_extract(items_json, '"qty"+:([0-9]+)', 1) AS decimal(18, 3))
               * try_cast(regexp_extract(items_json, '"price"+:([0-9.]+)', 1) AS decimal(18, 2))

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
@@ -32,6 +33,7 @@ from orderlayers.operators import (
     upsert_counts,
     validate,
     with_positions,
+    with_standard_currency,
 )
 from orderlayers.operators.headers import BYTE_ORDER_MARK
 from orderlayers.plans import (
@@ -62,6 +64,7 @@ from orderlayers.sources import (
     upsert,
     write_orders_csv,
 )
+from orderlayers.sources.publications import bucket_holders, current_version
 from orderlayers.streaming import ingest_stream
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -184,6 +187,13 @@ def validation_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All errors of each record, in the order of the rules."""
+    return validate(enveloped_orders(spark, sf_dir)).select(
+        "source_row_number", F.array_join("detected_errors", "; ").alias("errors")
+    )
+
+
 def validation_flags(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate(enveloped_orders(spark, sf_dir)).select(
         "source_row_number", "order_id", "is_clean_record"
@@ -289,6 +299,26 @@ def stream_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(read_raw(spark, base)).select("run_id", "engine_used", *S.ORDER_FIELDS)
 
 
+def stream_resumed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stream that fails in its second batch, its rows stored already, and is resumed."""
+    files, base = _order_files(spark, sf_dir), scratch_path(spark, "layers")
+
+    def lost(batch_id: int) -> None:
+        if batch_id == 1:
+            raise RuntimeError("lost")
+
+    try:
+        ingest_stream(spark, files, base, "s1", max_files=2, on_stored=lost)
+    except StreamingQueryException:
+        failed = read_batch_reports(spark, base, "s1").count()
+    report = ingest_stream(spark, files, base, "s1", max_files=2)
+    return unpack(read_raw(spark, base)).select(
+        "run_id", *S.ORDER_FIELDS,
+        F.lit(failed).cast("long").alias("batches_before"),
+        (F.lit(report["batches"]) > failed).alias("more_after"),
+    )
+
+
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows stored by streaming ingest, and rows its batch metrics account for."""
     base = scratch_path(spark, "layers")
@@ -317,6 +347,21 @@ def upsert_validated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(read_layer(spark, base, S.VALIDATED), "_id", "source_row_number")
 
 
+def upsert_one_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A layer of eight buckets after an upsert of its first key, and how many buckets that wrote."""
+    base = scratch_path(spark, "layers")
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
+    upsert(spark, base, S.VALIDATED, kept, "r1", buckets=8)
+    first = kept.agg(F.min("_id").alias("first"))
+    one = kept.join(F.broadcast(first), F.col("_id") == F.col("first")).drop("first")
+    upsert(spark, base, S.VALIDATED, one.withColumn("city", F.lit("CITY-2")), "r2")
+    newest = current_version(spark, base, S.VALIDATED)
+    written = bucket_holders(newest).count(newest["version"])
+    return _flat(read_layer(spark, base, S.VALIDATED), "_id").withColumn(
+        "buckets_written", F.lit(written).cast("long")
+    )
+
+
 def upsert_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "layers")
     held = classify_quarantined(enveloped_orders(spark, sf_dir))
@@ -362,9 +407,9 @@ def run_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("inserted_keys", "updated_keys", "quarantine_keys")],
         "source_file_count",
         F.col("file_name").rlike(r"^part-00000-.*\.csv$").alias("first_file_named"),
-        (F.coalesce("input_partitions", "source_file_count") >= F.col("source_file_count")).alias(
-            "enough_partitions"
-        ),
+        F.when(F.col("stage") == "ingest", F.coalesce(F.col("input_partitions") >= F.col("source_file_count"), F.lit(False)))
+        .otherwise(F.col("input_partitions").isNull())
+        .alias("enough_partitions"),
         # Seconds are told in hundredths, so the rate lies between those of either rounding.
         F.col("throughput")
         .between(
@@ -522,6 +567,42 @@ def item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def currency_aliases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders under the currency of their customer's nation, its name being the alias of a code."""
+    nation = spark.read.parquet(f"{sf_dir}/nation.parquet")
+    names = spark.read.parquet(f"{sf_dir}/customer.parquet").join(
+        F.broadcast(nation), F.col("c_nationkey") == F.col("n_nationkey")
+    )
+    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").join(names, F.col("o_custkey") == F.col("c_custkey"))
+    other = F.when(F.col("o_orderkey") % 5 == 0, "us$").when(F.col("o_orderkey") % 5 == 1, "eur").otherwise(" ")
+    paid = orders.select(
+        F.col("o_orderkey").alias("k"),
+        F.when(F.col("o_orderkey") % 2 == 0, F.concat(F.lit(" "), F.lower("n_name"), F.lit(" ")))
+        .otherwise(other)
+        .alias("currency"),
+    )
+    aliases = nation.select(F.col("n_name").alias("alias"), F.concat(F.lit("c"), F.col("n_nationkey")).alias("code"))
+    return with_standard_currency(paid, aliases)
+
+
+def order_item_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Totals of item lists that hold all lines of an order, every third one in CSV quoting."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    item = F.format_string(
+        '{"sku":"P%s","qty":%s,"price":%s}',
+        F.col("l_partkey").cast("string"),
+        F.col("l_quantity").cast("decimal(18,3)").cast("string"),
+        F.col("l_extendedprice").cast("decimal(18,2)").cast("string"),
+    )
+    lists = lines.groupBy(F.col("l_orderkey").alias("k")).agg(
+        F.concat(F.lit("["), F.array_join(F.sort_array(F.collect_list(item)), ","), F.lit("]")).alias("plain"),
+        F.count(F.lit(1)).alias("n_items"),
+    )
+    quoted = F.concat(F.lit('"'), F.replace("plain", F.lit('"'), F.lit('""')), F.lit('"'))
+    items = F.when(F.col("k") % 3 == 0, quoted).otherwise(F.col("plain"))
+    return lists.select("k", "n_items", fn.items_total(items).cast("decimal(38,2)").cast("double").alias("items_total"))
+
+
 QUERIES: dict[str, Query] = {
     "classify_orders": classify_orders,
     "status_counts": count_statuses,
@@ -534,6 +615,7 @@ QUERIES: dict[str, Query] = {
     "clean_date": clean_date,
     "audit_trail": audit_trail,
     "validation_errors": validation_errors,
+    "validation_report": validation_report,
     "validation_flags": validation_flags,
     "validation_missing_columns": validation_missing_columns,
     "header_repair": header_repair,
@@ -546,8 +628,10 @@ QUERIES: dict[str, Query] = {
     "row_number_totals": row_number_totals,
     "stream_ingest": stream_rows,
     "stream_batches": stream_batches,
+    "stream_resumed": stream_resumed,
     "latest_by_key": latest_by_key,
     "upsert_validated": upsert_validated,
+    "upsert_one_key": upsert_one_key,
     "upsert_quarantine": upsert_quarantine,
     "upsert_counts": count_upserts,
     "run_metrics": run_metrics,
@@ -562,4 +646,6 @@ QUERIES: dict[str, Query] = {
     "unchanged_rows": unchanged_rows,
     "currency_standard": currency_standard,
     "item_totals": item_totals,
+    "currency_aliases": currency_aliases,
+    "order_item_totals": order_item_totals,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,12 +59,14 @@ def ingest_stream(
     by_header: bool = False,
     max_files: int | None = None,
     max_bytes: int | None = BATCH_BYTES,
+    on_stored: Callable[[int], None] | None = None,
 ) -> dict:
     """Take in whatever files the run has not yet seen, then report the run so far.
 
     Each micro-batch goes to a folder of its own which a retry replaces, and its metrics
     row likewise, so a run resumed from its checkpoint loads nothing twice. A failing
-    batch fails the run; nothing is skipped.
+    batch fails the run; nothing is skipped. ``on_stored`` is called with the number of each batch
+    once its rows are stored; if it raises, the batch fails.
     """
     check_run_id(run_id)
     started = time.monotonic()
@@ -77,6 +80,8 @@ def ingest_stream(
         rows = conform(rows, "__name", "source_row_number")
         envelope = pack(rows, run_id, ENGINE, F.col("__name"), F.col("source_row_number"))
         replace_stream_load(envelope, raw, run_id, batch_id)
+        if on_stored:
+            on_stored(batch_id)
         loaded = session.read.parquet(sizes).agg(F.sum("__rows")).first()[0] or 0
         seconds, rate = rates(loaded, time.monotonic() - began)
         report = {
