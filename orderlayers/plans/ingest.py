@@ -4,16 +4,17 @@ from __future__ import annotations
 
 import re
 import time
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from orderlayers.operators.counts import rates
 from orderlayers.operators.envelope import pack
-from orderlayers.operators.numbering import number_rows, with_positions
+from orderlayers.operators.numbering import POSITION, SPLIT, number_rows, with_positions
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources.inventory import LARGE_FILE_ENGINE, file_inventory
-from orderlayers.sources.order_files import conform, read_orders, read_orders_by_header
+from orderlayers.sources.order_files import conform, read_orders, scans_by_header
 from orderlayers.sources.raw_layer import append_raw, raw_path
 from orderlayers.sources.reports import append_report
 
@@ -26,14 +27,20 @@ def check_run_id(run_id: str) -> None:
         raise ValueError(f"run id may hold letters, digits, dot, dash, underscore: {run_id!r}")
 
 
-def _numbered(scan: DataFrame, spark: SparkSession, contiguous: bool) -> DataFrame:
-    if contiguous:
-        return number_rows(with_positions(scan), scratch_path(spark, "split-sizes"))
-    return scan.select(
-        "*",
-        F.col("_metadata.file_name").alias("__name"),
-        F.monotonically_increasing_id().alias("source_row_number"),
-    )
+def numbered_rows(
+    scans: list[DataFrame], scratch: str | None, number: str = "source_row_number"
+) -> DataFrame:
+    """The declared fields of all scans with ``__name`` and a row number.
+
+    Numbers are 1, 2, 3, … per file, the sizes of splits being written to ``scratch``;
+    without it they are unique through all scans, with gaps.
+    """
+    if scratch is None:
+        named = [scan.select("*", F.col("_metadata.file_name").alias("__name")) for scan in scans]
+        rows = reduce(DataFrame.union, [conform(scan, "__name") for scan in named])
+        return rows.select("*", F.monotonically_increasing_id().alias(number))
+    placed = [conform(with_positions(scan), "__name", *SPLIT, POSITION) for scan in scans]
+    return number_rows(reduce(DataFrame.union, placed), scratch, number)
 
 
 def ingest_files(
@@ -64,10 +71,12 @@ def ingest_files(
         .first()
     )
     with pinned_splits(spark):
-        read = read_orders_by_header if by_header else read_orders
-        scan = read(spark, path, multi_line=multi_line)
-        partitions = scan.rdd.getNumPartitions()
-        rows = conform(_numbered(scan, spark, contiguous), "__name", "source_row_number")
+        if by_header:
+            scans = scans_by_header(spark, path, multi_line)
+        else:
+            scans = [read_orders(spark, path, multi_line=multi_line)]
+        partitions = sum(scan.rdd.getNumPartitions() for scan in scans)
+        rows = numbered_rows(scans, scratch_path(spark, "split-sizes") if contiguous else None)
         envelope = pack(
             rows, run_id, LARGE_FILE_ENGINE, F.col("__name"), F.col("source_row_number")
         )

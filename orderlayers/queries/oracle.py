@@ -17,6 +17,11 @@ _FIELDS = ", ".join(S.ORDER_FIELDS)
 _UNTOUCHED = ", ".join(f for f in S.ORDER_FIELDS if f not in S.REPAIRED_FIELDS)
 _FROM_FILE = ", ".join(f"nullif({f}, '') AS {f}" for f in S.ORDER_FIELDS)
 
+_MIXED = "CASE WHEN k % 3 = 1 THEN k::VARCHAR END AS note, " + ", ".join(
+    "CASE WHEN k % 3 != 2 THEN district END AS district" if f == "district" else f
+    for f in S.ORDER_FIELDS
+)
+
 _AMOUNT = (
     "regexp_replace(translate(total_amount, '٠١٢٣٤٥٦٧٨٩٫', '0123456789.'), "
     "'[^0-9.-]', '', 'g')"
@@ -186,6 +191,9 @@ def oracle_sql() -> dict[str, str]:
         f"{_FIELDS} FROM filed",
         "header_columns": f"{_FILE} SELECT k::VARCHAR AS note, k::VARCHAR || 'x' AS shop_id, "
         f"{_FIELDS} FROM filed",
+        "mixed_headers": f"{_FILE} SELECT 'r1' AS run_id, {_MIXED} FROM filed",
+        "stream_mixed_headers": f"{_FILE} SELECT 's1' AS run_id, {_MIXED}, "
+        "true AS numbered_to_the_end FROM filed",
         "blank_lines": f"{_FILE} SELECT row_number() OVER (ORDER BY k) AS source_row_number, "
         f"{_FIELDS} FROM filed",
         "kept_classification": f"{_DONE} SELECT order_id AS _id, {_FIELDS}, rule_codes, "

@@ -244,6 +244,40 @@ def header_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stored.select(*extra, *[F.col(f"raw_record.{f}").alias(f) for f in S.ORDER_FIELDS])
 
 
+def _mixed_files(spark: SparkSession, sf_dir: str) -> str:
+    """Order files of three headers: declared order, reversed with a note, without a district."""
+    path = scratch_path(spark, "order-files")
+    rows = keyed_dirty_orders(spark, sf_dir)
+    turned = [F.col(f) for f in reversed(S.ORDER_FIELDS)]
+    headers = [
+        [F.col(f) for f in S.ORDER_FIELDS],
+        [F.col("k").cast("string").alias("note"), *turned],
+        [F.col(f).alias(f" {f} ") for f in S.ORDER_FIELDS if f != "district"],
+    ]
+    for third, columns in enumerate(headers):
+        write_orders_csv(rows.filter(F.col("k") % 3 == third).select(*columns), f"{path}/{third}")
+    return f"{path}/*"
+
+
+def mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files of differing headers, each ingested by its own."""
+    base = scratch_path(spark, "layers")
+    ingest_files(spark, _mixed_files(spark, sf_dir), base, "r1", by_header=True)
+    return read_raw(spark, base).select("run_id", F.col("extra")["note"].alias("note"), "raw_record.*")
+
+
+def stream_mixed_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same as a stream, with rows numbered per file in each micro-batch."""
+    base = scratch_path(spark, "layers")
+    ingest_stream(spark, _mixed_files(spark, sf_dir), base, "s1", by_header=True, max_files=2)
+    stored = read_raw(spark, base)
+    last, n = F.max("source_row_number"), F.count(F.lit(1))
+    files = stored.groupBy("source_file").agg((last == n).alias("numbered_to_the_end"))
+    return stored.join(files, "source_file").select(
+        "run_id", F.col("extra")["note"].alias("note"), "raw_record.*", "numbered_to_the_end"
+    )
+
+
 def blank_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Order files with an empty line after each line, read and numbered."""
     path = scratch_path(spark, "blank-lines")
@@ -622,6 +656,8 @@ QUERIES: dict[str, Query] = {
     "envelope_roundtrip": envelope_roundtrip,
     "csv_roundtrip": csv_roundtrip,
     "header_columns": header_columns,
+    "mixed_headers": mixed_headers,
+    "stream_mixed_headers": stream_mixed_headers,
     "blank_lines": blank_lines,
     "kept_classification": kept_classification,
     "row_numbers": row_numbers,

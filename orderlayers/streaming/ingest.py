@@ -8,14 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from orderlayers import schema as S
 from orderlayers.operators.counts import rates
 from orderlayers.operators.envelope import pack
 from orderlayers.operators.numbering import number_rows, with_row_places
-from orderlayers.plans.ingest import check_run_id
+from orderlayers.plans.ingest import check_run_id, numbered_rows
 from orderlayers.session import pinned_splits, scratch_path
-from orderlayers.sources.order_files import CSV_OPTIONS, conform, header_schema
+from orderlayers.sources.order_files import (
+    CSV_OPTIONS,
+    conform,
+    literal_path,
+    scans_by_header,
+)
 from orderlayers.sources.raw_layer import raw_path, replace_stream_load
 from orderlayers.sources.reports import (
     append_report,
@@ -29,6 +35,32 @@ ENGINE = "pyspark_stream"
 BATCH_BYTES = 1 << 30
 
 
+def _bounded(
+    reader: DataStreamReader, max_files: int | None, max_bytes: int | None
+) -> DataStreamReader:
+    if max_files is not None:
+        return reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes is not None:
+        return reader.option("maxBytesPerTrigger", max_bytes)
+    return reader
+
+
+def stream_files(
+    spark: SparkSession,
+    directory: str,
+    max_files: int | None = None,
+    max_bytes: int | None = BATCH_BYTES,
+) -> DataFrame:
+    """The paths of new files of a directory as a stream; the files are listed, not read.
+
+    Their sizes bound a micro-batch as they do in ``stream_orders``.
+    """
+    reader = spark.readStream.format("binaryFile").schema(
+        "path string, modificationTime timestamp, length long, content binary"
+    )
+    return _bounded(reader, max_files, max_bytes).load(directory).select("path")
+
+
 def stream_orders(
     spark: SparkSession,
     directory: str,
@@ -39,11 +71,7 @@ def stream_orders(
 ) -> DataFrame:
     """New order files of a directory as a stream, a bounded amount per micro-batch."""
     reader = spark.readStream.schema(schema).options(**CSV_OPTIONS, **options)
-    if max_files is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files)
-    elif max_bytes is not None:
-        reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.csv(directory).select(
+    return _bounded(reader, max_files, max_bytes).csv(directory).select(
         "*",
         F.col("_metadata.file_path").alias("__path"),
         F.col("_metadata.file_name").alias("__name"),
@@ -66,7 +94,8 @@ def ingest_stream(
     Each micro-batch goes to a folder of its own which a retry replaces, and its metrics
     row likewise, so a run resumed from its checkpoint loads nothing twice. A failing
     batch fails the run; nothing is skipped. ``on_stored`` is called with the number of each batch
-    once its rows are stored; if it raises, the batch fails.
+    once its rows are stored; if it raises, the batch fails. With ``by_header`` the stream is one
+    of file names, and each batch reads its files by the header that each of them has.
     """
     check_run_id(run_id)
     started = time.monotonic()
@@ -76,8 +105,12 @@ def ingest_stream(
         began = time.monotonic()
         session = batch.sparkSession
         sizes = scratch_path(session, "split-sizes")
-        rows = number_rows(with_row_places(batch), sizes)
-        rows = conform(rows, "__name", "source_row_number")
+        if by_header:
+            files = [literal_path(row["path"]) for row in batch.collect()]
+            rows = numbered_rows(scans_by_header(session, files), sizes)
+        else:
+            rows = number_rows(with_row_places(batch), sizes)
+            rows = conform(rows, "__name", "source_row_number")
         envelope = pack(rows, run_id, ENGINE, F.col("__name"), F.col("source_row_number"))
         replace_stream_load(envelope, raw, run_id, batch_id)
         if on_stored:
@@ -93,14 +126,9 @@ def ingest_stream(
         }
         replace_batch_report(session, base, report)
 
-    if by_header:
-        options = {"schema": header_schema(spark, directory), "enforceSchema": "false"}
-    else:
-        options = {}
+    source = stream_files if by_header else stream_orders
     with pinned_splits(spark):
-        stream = stream_orders(
-            spark, directory, max_files=max_files, max_bytes=max_bytes, **options
-        )
+        stream = source(spark, directory, max_files=max_files, max_bytes=max_bytes)
         query = (
             stream.writeStream.foreachBatch(load)
             .option("checkpointLocation", f"{base}/stream_checkpoints/{run_id}")

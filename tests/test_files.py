@@ -5,16 +5,17 @@ from pyspark.sql import functions as F
 
 from orderlayers import schema as S
 from orderlayers.operators import classify, number_rows, with_positions
-from orderlayers.plans import sample, sample_rows, write_sample
+from orderlayers.plans import ingest_files, sample, sample_rows, write_sample
 from orderlayers.queries.dirty_orders import keyed_dirty_orders
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources import (
     file_inventory,
     read_orders,
     read_orders_by_header,
+    read_raw,
     write_orders_csv,
 )
-from orderlayers.sources.order_files import conform
+from orderlayers.sources.order_files import conform, first_lines, one_file_a_task, scans_by_header
 
 HEADER = ",".join(S.ORDER_FIELDS)
 
@@ -63,14 +64,50 @@ def test_by_header_takes_any_column_order(spark, tmp_path):
     }
 
 
-def test_by_header_refuses_other_headers_and_keeps_unknown_columns(spark, tmp_path):
-    write(tmp_path / "in/1.csv", "order_id,status", "1,new")
-    write(tmp_path / "in/2.csv", "status,order_id", "new,2")
-    with pytest.raises(Exception, match="(?i)header"):
-        read_orders_by_header(spark, str(tmp_path / "in")).collect()
-    path = write(tmp_path / "other.csv", "order_id,colour", "1,red")
-    row = conform(read_orders_by_header(spark, path)).first()
-    assert (row["order_id"], row["extra"]) == ("1", {"colour": "red"})
+def test_each_file_is_read_by_its_own_header(spark, tmp_path):
+    folder = tmp_path / "in"
+    write(folder / "1.csv", "order_id,status", "1,new")
+    write(folder / "2 [a]+b%20.csv", "", "  ", "status,order_id,colour", "new,2,red", "", "old,3")
+    write(folder / "3.csv", "order_id,status", "4,", "5,new")
+    write(folder / "4.csv", "status,order_id")
+    (folder / "5.csv").touch()
+    assert len(scans_by_header(spark, str(folder))) == 3
+    rows = conform(read_orders_by_header(spark, str(folder))).collect()
+    assert sorted((r["order_id"], r["status"]) for r in rows if r["status"]) == [
+        ("1", "new"), ("2", "new"), ("3", "old"), ("5", "new"),
+    ]
+    ingest_files(spark, str(folder), str(tmp_path / "layers"), "r1", by_header=True)
+    stored = read_raw(spark, str(tmp_path / "layers")).collect()
+    assert sorted(
+        (r["source_file"], r["source_row_number"], r["raw_record"]["order_id"], str(r["extra"])) for r in stored
+    ) == [
+        ("1.csv", 1, "1", "None"),
+        ("2%20%5Ba%5D+b%2520.csv", 1, "2", "{'colour': 'red'}"),
+        ("2%20%5Ba%5D+b%2520.csv", 2, "3", "{'colour': None}"),
+        ("3.csv", 1, "4", "None"),
+        ("3.csv", 2, "5", "None"),
+    ]
+
+
+def test_one_header_is_one_scan_and_no_file_is_none(spark, tmp_path):
+    write(tmp_path / "in/1.csv", "status,order_id", "new,1")
+    write(tmp_path / "in/2.csv", "status,order_id", "old,2")
+    assert len(scans_by_header(spark, str(tmp_path / "in"))) == 1
+    (tmp_path / "none").mkdir()
+    (tmp_path / "none/1.csv").touch()
+    assert conform(read_orders_by_header(spark, str(tmp_path / "none"))).isEmpty()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        scans_by_header(spark, str(tmp_path / "missing"))
+
+
+def test_headers_are_found_without_reading_the_files(spark, tmp_path):
+    body = [line(str(k)) for k in range(50_000)]
+    for k in range(3):
+        write(tmp_path / f"in/{k}.csv", HEADER, *body)
+    with one_file_a_task(spark):
+        lines = first_lines(spark, str(tmp_path / "in"))
+        assert lines.rdd.getNumPartitions() == 3
+        assert [r["line"] for r in lines.collect()] == [HEADER] * 3
 
 
 def test_csv_round_trip(spark, tmp_path, small):

@@ -84,3 +84,24 @@ def test_stream_by_header(spark, base, tmp_path):
     assert {(r["order_id"], r["status"], r["city"]) for r in found} == {
         ("1", "new", None), ("2", None, None),
     }
+
+
+def test_stream_of_files_with_different_headers(spark, base, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "1 [x].csv").write_text("status,order_id\nnew,1\nold,2\n", encoding="utf-8")
+    (folder / "2.csv").write_text("order_id,note,status\n3,n,new\n", encoding="utf-8")
+    first = ingest_stream(spark, str(folder), base, "r1", by_header=True, max_files=1)
+    (folder / "3.csv").write_text("city\nCairo\n", encoding="utf-8")
+    both = ingest_stream(spark, str(folder), base, "r1", by_header=True)
+    assert (first["rows_read"], first["batches"]) == (3, 2)
+    assert (both["rows_read"], both["batches"]) == (4, 3)
+    found = read_raw(spark, base).select("source_file", "source_row_number", "raw_record.*", "extra").collect()
+    assert sorted(
+        (r["source_file"], r["source_row_number"], str(r["order_id"]), r["status"], r["city"], str(r["extra"])) for r in found
+    ) == [
+        ("1%20%5Bx%5D.csv", 1, "1", "new", None, "None"),
+        ("1%20%5Bx%5D.csv", 2, "2", "old", None, "None"),
+        ("2.csv", 1, "3", "new", None, "{'note': 'n'}"),
+        ("3.csv", 1, "None", None, "Cairo", "None"),
+    ]
