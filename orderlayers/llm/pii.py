@@ -404,7 +404,7 @@ def redact(docs: DataFrame, weights: dict | None) -> DataFrame:
 
 
 def personal_data(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans) for each row of ``docs``."""
+    """(doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans, n_spans) for each row of ``docs``."""
     texts = docs.select("doc_id", "text")
     found = with_spans(texts, train_span_classifier(texts))
     return found.select(
@@ -412,6 +412,7 @@ def personal_data(docs: DataFrame) -> DataFrame:
         *(F.size(f"pii.base.{k}").cast("long").alias(f"n_{k}") for k in BASE_KINDS),
         F.sha2(spans_text(F.col("pii.base_spans")), 256).alias("base_sha256"),
         spans_text(F.col("pii.spans")).alias("spans"),
+        F.size("pii.spans").cast("long").alias("n_spans"),
     )
 
 

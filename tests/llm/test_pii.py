@@ -55,6 +55,7 @@ def test_base_equals_brute_force_and_stays_in_the_spans(docs, small_docs):
         assert row["base_sha256"] == hashlib.sha256(",".join(joined).encode()).hexdigest()
         assert [row[f"n_{k}"] for k in PATTERNS] == [sum(s[3] == k for s in spans) for k in PATTERNS]
         assert set(joined) <= set(row["spans"].split(",")) | {""}
+        assert row["n_spans"] == len(row["spans"].split(",")) - (row["spans"] == "")
 
 
 SECRETS = [f'word token = "{hashlib.sha1(str(k).encode()).hexdigest()}" word' for k in range(30)]
