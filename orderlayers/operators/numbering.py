@@ -10,6 +10,13 @@ SPLIT = ["__path", "__block"]
 POSITION = "__position"
 
 
+def file_base_name() -> F.Column:
+    """Each row's file, without folders, as it is called: the reader's metadata escape it."""
+    escaped = F.col("_metadata.file_name")
+    plain = F.url_decode(F.replace(escaped, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(escaped, F.lit("%")), plain).otherwise(escaped)
+
+
 def with_positions(df: DataFrame) -> DataFrame:
     """Attach each row's file, split and place to a frame read from files.
 
@@ -19,7 +26,7 @@ def with_positions(df: DataFrame) -> DataFrame:
         df.select(
             "*",
             F.col("_metadata.file_path").alias("__path"),
-            F.col("_metadata.file_name").alias("__name"),
+            file_base_name().alias("__name"),
             F.col("_metadata.file_block_start").alias("__block"),
         )
     )

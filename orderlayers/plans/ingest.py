@@ -11,7 +11,13 @@ from pyspark.sql import functions as F
 
 from orderlayers.operators.counts import rates
 from orderlayers.operators.envelope import pack
-from orderlayers.operators.numbering import POSITION, SPLIT, number_rows, with_positions
+from orderlayers.operators.numbering import (
+    POSITION,
+    SPLIT,
+    file_base_name,
+    number_rows,
+    with_positions,
+)
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources.inventory import LARGE_FILE_ENGINE, file_inventory
 from orderlayers.sources.order_files import conform, read_orders, scans_by_header
@@ -36,7 +42,7 @@ def numbered_rows(
     without it they are unique through all scans, with gaps.
     """
     if scratch is None:
-        named = [scan.select("*", F.col("_metadata.file_name").alias("__name")) for scan in scans]
+        named = [scan.select("*", file_base_name().alias("__name")) for scan in scans]
         rows = reduce(DataFrame.union, [conform(scan, "__name") for scan in named])
         return rows.select("*", F.monotonically_increasing_id().alias(number))
     placed = [conform(with_positions(scan), "__name", *SPLIT, POSITION) for scan in scans]

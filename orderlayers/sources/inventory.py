@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orderlayers.operators.numbering import file_base_name
+
 # Largest file, in MB, for the small-file mode; names of the modes.
 SMALL_FILE_MB = 200.0
 SMALL_FILE_ENGINE = "python_batch"
@@ -23,7 +25,7 @@ def file_inventory(
         spark.read.format("binaryFile")
         .load(path)
         .select(
-            F.col("_metadata.file_name").alias("file_name"),
+            file_base_name().alias("file_name"),
             "path",
             "length",
             size_mb.alias("size_mb"),

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamReader
 from orderlayers import schema as S
 from orderlayers.operators.counts import rates
 from orderlayers.operators.envelope import pack
-from orderlayers.operators.numbering import number_rows, with_row_places
+from orderlayers.operators.numbering import file_base_name, number_rows, with_row_places
 from orderlayers.plans.ingest import check_run_id, numbered_rows
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources.order_files import (
@@ -74,7 +74,7 @@ def stream_orders(
     return _bounded(reader, max_files, max_bytes).csv(directory).select(
         "*",
         F.col("_metadata.file_path").alias("__path"),
-        F.col("_metadata.file_name").alias("__name"),
+        file_base_name().alias("__name"),
         F.col("_metadata.file_block_start").alias("__block"),
     )
 

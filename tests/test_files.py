@@ -82,8 +82,8 @@ def test_each_file_is_read_by_its_own_header(spark, tmp_path):
         (r["source_file"], r["source_row_number"], r["raw_record"]["order_id"], str(r["extra"])) for r in stored
     ) == [
         ("1.csv", 1, "1", "None"),
-        ("2%20%5Ba%5D+b%2520.csv", 1, "2", "{'colour': 'red'}"),
-        ("2%20%5Ba%5D+b%2520.csv", 2, "3", "{'colour': None}"),
+        ("2 [a]+b%20.csv", 1, "2", "{'colour': 'red'}"),
+        ("2 [a]+b%20.csv", 2, "3", "{'colour': None}"),
         ("3.csv", 1, "4", "None"),
         ("3.csv", 2, "5", "None"),
     ]
@@ -205,11 +205,11 @@ def test_sample_reads_only_the_files_it_needs(spark, numbered_files, monkeypatch
 
 
 def test_inventory(spark, tmp_path):
-    write(tmp_path / "in/small.csv", "x" * 99)
+    write(tmp_path / "in/sm all+.csv", "x" * 99)
     write(tmp_path / "in/large.csv", "x" * 1999)
     rows = file_inventory(spark, str(tmp_path / "in"), threshold_mb=100 / 2**20)
     assert {(r["file_name"], r["length"], r["engine"]) for r in rows.collect()} == {
-        ("small.csv", 100, "python_batch"), ("large.csv", 2000, "pyspark"),
+        ("sm all+.csv", 100, "python_batch"), ("large.csv", 2000, "pyspark"),
     }
     plan = rows._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<path:string,length:bigint>" in plan
