@@ -38,6 +38,7 @@ def _parser() -> argparse.ArgumentParser:
     elt = command("elt", "raw layer to validated and quarantine layers", "base")
     elt.add_argument("--run-id")
     elt.add_argument("--only-runs", nargs="+")
+    elt.add_argument("--only-new", action="store_true", help="runs not merged before")
     elt.add_argument("--keep", action="store_true", help="keep classified rows for both layers")
     drop = command("drop-old", "delete layer versions no reader needs", "base")
     drop.add_argument("--keep", type=int, default=1, help="versions that stay")
@@ -65,7 +66,7 @@ def main(arguments: list[str] | None = None) -> None:
         result = streaming.ingest_stream(spark, args.path, args.base, run_id, args.by_header)
     elif args.command == "elt":
         storage = StorageLevel.MEMORY_AND_DISK if args.keep else None
-        result = plans.run_elt(spark, args.base, run_id, args.only_runs, storage)
+        result = plans.run_elt(spark, args.base, run_id, args.only_runs, storage, only_new=args.only_new)
     elif args.command == "drop-old":
         result = {
             layer: sources.drop_old_versions(spark, args.base, layer, args.keep)

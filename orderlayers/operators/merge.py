@@ -46,9 +46,15 @@ def merge_latest(
     tallies: tuple[str, ...] = (),
     key: str = "_id",
     business: tuple[str, ...] = S.ORDER_FIELDS,
+    keep_newer: bool = False,
+    recency: tuple[str, ...] = RECENCY,
 ) -> DataFrame:
     """Contents after replacing existing rows by ``latest`` ones, key by key.
 
+    With ``keep_newer`` an existing row stays where it is the newer one, by the order of
+    ``latest_per_key``, so that runs may be merged in any order, or again. Such a key has
+    arrived and stays the same.
+
     One full outer join gives the new contents and, as flag columns, what happened to
     each key, so counting needs no join of its own. Both sides hold a key once, so no
     task of the join is larger than its share of keys.
@@ -66,17 +72,25 @@ def merge_latest(
     )
     arrived = F.col("__new").isNotNull()
     existed = F.col("__old").isNotNull()
+    stays = F.lit(False)
+    if keep_newer:
+        order = [*recency, *[c for c in existing.columns if c != key and c not in recency]]
+
+        def place(side: str) -> Column:
+            return F.struct(*[F.col(side if c in business else f"{side}_rest")[c] for c in order])
+
+        stays = existed & arrived & (place("__old") > place("__new"))
     flags = {
         "__existed": existed,
         "__arrived": arrived,
-        "__same": arrived & F.col("__new").eqNullSafe(F.col("__old")),
+        "__same": stays | (arrived & F.col("__new").eqNullSafe(F.col("__old"))),
     }
     return (
         old.join(new, key, "full_outer")
         .select(
             key,
-            F.coalesce("__new", "__old").alias("__row"),
-            F.coalesce("__new_rest", "__old_rest").alias("__rest"),
+            F.when(~stays & arrived, F.col("__new")).otherwise(F.col("__old")).alias("__row"),
+            F.when(~stays & arrived, F.col("__new_rest")).otherwise(F.col("__old_rest")).alias("__rest"),
             "__copies",
             *[flag.alias(name) for name, flag in flags.items()],
             *tallies,

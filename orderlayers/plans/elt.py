@@ -15,6 +15,7 @@ from orderlayers.operators.counts import rates, source_summary
 from orderlayers.session import scratch_path, setting
 from orderlayers.sources.frames import remove_path
 from orderlayers.sources.keyed_layers import upsert
+from orderlayers.sources.ledger import new_runs, record_merged
 from orderlayers.sources.raw_layer import read_raw
 from orderlayers.sources.reports import append_report
 
@@ -36,18 +37,29 @@ def run_elt(
     run_ids: Collection[str] | None = None,
     storage: StorageLevel | None = None,
     buckets: int | None = None,
+    only_new: bool = False,
 ) -> dict | None:
     """Clean, audit and classify raw rows, upsert both layers, report the run.
 
     The whole raw layer is read unless ``run_ids`` names the ingest runs to take. Without
     raw rows nothing happens and nothing is reported.
 
+    With ``only_new`` the ledger tells which of those runs were merged before, with the files they
+    have now; they are not read. Stored rows that are newer than a run's stay, so the layers
+    hold what one ELT over all of these runs would give, whatever the order they are merged in.
+
     The raw rows are scanned and classified once, into a work table with a folder for each
     layer; the upserts read their own folder of it and count what they pass on. The table goes
     when they are done. ``storage`` keeps the classified rows in Spark's storage instead; that
     pays while they fit the cluster's memory.
     """
     started = time.monotonic()
+    runs = []
+    if only_new:
+        runs = [run for run in new_runs(spark, base) if run_ids is None or run[0] in run_ids]
+        if not runs:
+            return None
+        run_ids = [run[0] for run in runs]
     rows = routed(classify(read_raw(spark, base, run_ids)))
     if storage is None:
         work = scratch_path(spark, "elt-routed")
@@ -60,15 +72,17 @@ def run_elt(
     try:
         source = source_summary(kept).first()
         if source["rows_read"] == 0:
+            record_merged(spark, base, runs)
             return None
         read = source["rows_read"]
         bad, good = (kept.filter(F.col("layer") == x).drop("layer") for x in (S.QUARANTINE, S.VALIDATED))
         held = upsert(
-            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read
+            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read, only_new
         )
         passed = upsert(
-            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read
+            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read, only_new
         )
+        record_merged(spark, base, runs)
     finally:
         if storage is None:
             remove_path(spark, work)

@@ -245,6 +245,12 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'orders_quarantine', 0, 0""",
         "read_some_runs": f"""{_DIRTY} SELECT 'r2' AS run_id, k + 1 AS source_row_number, order_id
             FROM dirty""",
+        "merged_new_runs": f"""{_DONE}
+            SELECT order_id AS _id, k + 1 + CASE WHEN k % 3 = 0 THEN 1000000000000 ELSE 0 END
+                     AS source_row_number, {_FIELDS}, rule_codes, record_status,
+                   (SELECT count(*) FILTER (k % 3 = 0) FROM done) AS r1_read,
+                   (SELECT count(*) FROM done) AS r3_read
+            FROM done WHERE {_ACCEPTED}""",
         "run_metrics": f"""{_FILE}, {_chain('filed')}, counts AS ({_SUMMARY}),
             reasons AS (
               SELECT count(*) FILTER (record_status LIKE '%: MISSING_ORDER_ID') AS missing_order_id,

@@ -574,6 +574,24 @@ def read_some_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack(read_raw(spark, base, ["r2", "r3"])).select("run_id", "source_row_number", "order_id")
 
 
+def merged_new_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The validated layer of two ELT runs over new raw runs only, and the rows each of them read."""
+    base = scratch_path(spark, "layers")
+    rows = enveloped_orders(spark, sf_dir)
+    later = rows.filter(_k() % 3 == 0).withColumn("source_row_number", F.col("source_row_number") + LATER)
+    parts = {"r1": later, "r2": _even(rows), "r3": rows.filter(_k() % 2 == 1)}
+    for run_id, part in parts.items():
+        append_raw(part.withColumn("run_id", F.lit(run_id)), raw_path(spark, base))
+        if run_id != "r2":
+            run_elt(spark, base, f"elt_{run_id}", only_new=True)
+    read = read_reports(spark, base).agg(
+        *[F.max(F.when(F.col("run_id") == f"elt_{r}", F.col("rows_read"))).alias(f"{r}_read") for r in ("r1", "r3")]
+    ).first()
+    return _flat(read_layer(spark, base, S.VALIDATED), "_id", "source_row_number").withColumns(
+        {name: F.lit(count).cast("long") for name, count in read.asDict().items()}
+    )
+
+
 def unchanged_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What an upsert does to each key: insert it, change it, or rewrite it as it was."""
     kept = classify_accepted(enveloped_orders(spark, sf_dir))
@@ -679,6 +697,7 @@ QUERIES: dict[str, Query] = {
     "empty_upsert": empty_upsert,
     "stored_key_counts": stored_key_counts,
     "read_some_runs": read_some_runs,
+    "merged_new_runs": merged_new_runs,
     "unchanged_rows": unchanged_rows,
     "currency_standard": currency_standard,
     "item_totals": item_totals,

@@ -124,9 +124,12 @@ def upsert(
     tallies: Mapping[str, Column] | None = None,
     buckets: int | None = None,
     expected_rows: int | None = None,
+    keep_newer: bool = False,
 ) -> dict[str, int]:
     """Replace the layer's rows by the newest incoming row of each key; return counts.
 
+    With ``keep_newer`` a stored row that is newer than the incoming one stays.
+
     Only the buckets that incoming keys fall into are read and written anew, whatever the size
     of the layer; a look at the keys alone tells which they are. The counts come out of the write
     itself, observed after the last shuffle, where a task that is run again is not counted again.
@@ -147,7 +150,7 @@ def upsert(
         return _nothing_came(rows_before, names)
     in_place = stored == buckets
     existing = _read_version(spark, base, layer, current, touched if in_place else None)
-    merged = merge_latest(existing, latest_per_key(incoming, tallies), names)
+    merged = merge_latest(existing, latest_per_key(incoming, tallies), names, keep_newer=keep_newer)
     written = Observation()
     stray = F.count_if(F.col("__arrived") & ~_among(bucket_of(buckets), touched, buckets))
     version = new_version()

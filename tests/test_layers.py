@@ -16,6 +16,7 @@ from orderlayers.plans import (
     reset_layers,
     run_elt,
 )
+from orderlayers.plans import elt
 from orderlayers.plans.elt import check_report
 from orderlayers.queries.dirty_orders import enveloped_orders
 from orderlayers.queries.registry import _even, _order_files, _with_copies
@@ -30,6 +31,7 @@ from orderlayers.sources import (
     read_reports,
     upsert,
 )
+from orderlayers.sources.ledger import new_runs
 from orderlayers.sources.publications import current_version
 
 
@@ -372,3 +374,56 @@ def test_elt_scans_the_raw_layer_once(spark, base, small, monkeypatch):
     monkeypatch.setattr(elt, "read_raw", lambda *a: raw.mapInArrow(counted, raw.schema))
     assert run_elt(spark, base, "r1")["rows_read"] == 1500
     assert seen.value == 1500
+
+
+def _run(spark, base, rows, run_id):
+    append_raw(rows.withColumn("run_id", F.lit(run_id)), raw_path(spark, base))
+
+
+def test_new_runs_only(spark, base, small, monkeypatch):
+    rows = enveloped_orders(spark, small)
+    later = _even(rows).withColumn("source_row_number", F.col("source_row_number") + 10**6)
+    _run(spark, base, later, "r1")
+    _run(spark, base, rows, "r2")
+    assert run_elt(spark, base, "e1", only_new=True)["rows_read"] == 2250
+    assert run_elt(spark, base, "e2", only_new=True) is None
+    whole = read_layer(spark, base, S.VALIDATED)
+    # Older rows in a later run replace nothing; only that run is read.
+    asked = []
+    monkeypatch.setattr(elt, "read_raw", lambda *a: asked.append(a[2]) or read_raw(*a))
+    _run(spark, base, _even(rows), "r3")
+    report = run_elt(spark, base, "e3", only_new=True)
+    assert report["rows_read"] == 750 and asked == [["r3"]]
+    assert report["updated_keys"] == report["unchanged_count"] > 0 == report["inserted_keys"]
+    assert same(whole, read_layer(spark, base, S.VALIDATED))
+    # A run that has grown is taken again.
+    _run(spark, base, rows, "r1")
+    assert run_elt(spark, base, "e4", only_new=True)["rows_read"] == 2250
+    assert same(whole, read_layer(spark, base, S.VALIDATED))
+    # The same as one ELT over everything.
+    other = raw_path(spark, base)
+    monkeypatch.setattr(elt, "read_raw", lambda *a: spark.read.parquet(other).select(*S.RAW_ENVELOPE.names))
+    run_elt(spark, f"{base}-2", "e1")
+    drop = ("run_id",)
+    assert same(whole.drop(*drop), read_layer(spark, f"{base}-2", S.VALIDATED).drop(*drop))
+
+
+def test_emptied_layers_void_the_ledger(spark, base, small):
+    _run(spark, base, enveloped_orders(spark, small), "r1")
+    run_elt(spark, base, "e1", only_new=True)
+    keyed_layers.reset_layer(spark, base, S.QUARANTINE)
+    assert run_elt(spark, base, "e2", only_new=True)["quarantine_count"] > 0
+    reset_layers(spark, base)
+    assert new_runs(spark, base) == [] and run_elt(spark, base, "e3", only_new=True) is None
+    _run(spark, base, enveloped_orders(spark, small), "r1")
+    assert run_elt(spark, base, "e4", only_new=True)["rows_read"] == 1500
+
+
+def test_elt_that_dies_before_the_ledger_is_done_again(spark, base, small, monkeypatch):
+    _run(spark, base, enveloped_orders(spark, small), "r1")
+    with monkeypatch.context() as patch:
+        patch.setattr(elt, "record_merged", lambda *a: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            run_elt(spark, base, "e1", only_new=True)
+    report = run_elt(spark, base, "e2", only_new=True)
+    assert report["rows_read"] == 1500 and report["inserted_keys"] == 0
