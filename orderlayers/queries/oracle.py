@@ -245,6 +245,8 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'orders_quarantine', 0, 0""",
         "read_some_runs": f"""{_DIRTY} SELECT 'r2' AS run_id, k + 1 AS source_row_number, order_id
             FROM dirty""",
+        "skipped_buckets": f"""{_DONE} SELECT min(order_id) AS _id, 1::BIGINT AS least_reads,
+            0::BIGINT AS behind_reads FROM done WHERE {_ACCEPTED} AND k % 2 = 0""",
         "merged_new_runs": f"""{_DONE}
             SELECT order_id AS _id, k + 1 + CASE WHEN k % 3 = 0 THEN 1000000000000 ELSE 0 END
                      AS source_row_number, {_FIELDS}, rule_codes, record_status,

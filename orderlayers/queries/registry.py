@@ -51,17 +51,19 @@ from orderlayers.queries.dirty_orders import (
 from orderlayers.session import pinned_splits, scratch_path
 from orderlayers.sources import (
     append_raw,
-    existing_keys,
     file_inventory,
     latest_report,
+    may_be_stored,
     raw_path,
     read_batch_reports,
     read_layer,
     read_orders,
     read_raw,
     read_reports,
+    stored_keys_among,
     unify_reports,
     upsert,
+    write_key_filters,
     write_orders_csv,
 )
 from orderlayers.sources.publications import bucket_holders, current_version
@@ -561,7 +563,35 @@ def stored_key_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = scratch_path(spark, "layers")
     kept = classify_accepted(enveloped_orders(spark, sf_dir))
     upsert(spark, base, S.VALIDATED, _even(kept), "r1")
-    return upsert_counts(existing_keys(spark, base, S.VALIDATED), _with_copies(kept))
+    write_key_filters(spark, base, S.VALIDATED)
+    incoming = _with_copies(kept)
+    return upsert_counts(stored_keys_among(spark, base, S.VALIDATED, incoming), incoming)
+
+
+def skipped_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys looked up in a layer that holds every second order, and buckets that this left unread.
+
+    Every order's key is looked up with a tail behind it, so that none is stored, and the least
+    key as it is. Filters are about: so all that is said of buckets is whether a lookup of the
+    least key alone reads one, and one of keys behind all stored ones none.
+    """
+    base = scratch_path(spark, "layers")
+    kept = classify_accepted(enveloped_orders(spark, sf_dir))
+    upsert(spark, base, S.VALIDATED, _even(kept), "r1", buckets=8)
+    write_key_filters(spark, base, S.VALIDATED)
+    least = _even(kept).agg(F.min("_id").alias("_id"))
+    behind = kept.select(F.concat(F.lit("\uffff"), "_id").alias("_id"))
+    strange = kept.select(F.concat("_id", F.lit("-x")).alias("_id"))
+
+    def read(keys: DataFrame) -> int:
+        return may_be_stored(spark, base, S.VALIDATED, keys).select("bucket").distinct().count()
+
+    found = stored_keys_among(spark, base, S.VALIDATED, strange.unionByName(least))
+    return found.select(
+        "_id",
+        F.lit(read(least)).cast("long").alias("least_reads"),
+        F.lit(read(behind)).cast("long").alias("behind_reads"),
+    )
 
 
 def read_some_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -696,6 +726,7 @@ QUERIES: dict[str, Query] = {
     "file_inventory": list_files,
     "empty_upsert": empty_upsert,
     "stored_key_counts": stored_key_counts,
+    "skipped_buckets": skipped_buckets,
     "read_some_runs": read_some_runs,
     "merged_new_runs": merged_new_runs,
     "unchanged_rows": unchanged_rows,

@@ -1,6 +1,11 @@
 """Files, layers and reports as sources and sinks."""
 
 from orderlayers.sources.inventory import file_inventory
+from orderlayers.sources.key_filters import (
+    may_be_stored,
+    stored_keys_among,
+    write_key_filters,
+)
 from orderlayers.sources.keyed_layers import (
     existing_keys,
     preview_layer,
@@ -8,6 +13,7 @@ from orderlayers.sources.keyed_layers import (
     reset_layer,
     upsert,
 )
+from orderlayers.sources.ledger import merged_runs, new_runs
 from orderlayers.sources.order_files import (
     read_orders,
     read_orders_by_header,
@@ -25,7 +31,7 @@ from orderlayers.sources.reports import (
 
 __all__ = [
     "append_raw", "append_report", "drop_old_versions", "existing_keys", "file_inventory", "latest_report",
-    "preview_layer", "raw_path", "read_batch_reports", "read_layer", "read_orders",
-    "read_orders_by_header", "read_raw", "read_reports", "reset_layer", "unify_reports",
-    "upsert", "write_orders_csv",
+    "may_be_stored", "merged_runs", "new_runs", "preview_layer", "raw_path", "read_batch_reports", "read_layer", "read_orders",
+    "read_orders_by_header", "read_raw", "read_reports", "reset_layer",
+    "stored_keys_among", "unify_reports", "upsert", "write_key_filters", "write_orders_csv",
 ]

@@ -77,7 +77,7 @@ def _bucketed_table(spark: SparkSession, path: str, buckets: int) -> Iterator[st
 
 def read_layer(spark: SparkSession, base: str, layer: str) -> DataFrame:
     """Current contents of a layer; a layer never written is empty."""
-    return _read_version(spark, base, layer, current_version(spark, base, layer))
+    return read_buckets(spark, base, layer, current_version(spark, base, layer))
 
 
 def _listed(values: Collection) -> Column:
@@ -93,17 +93,22 @@ def _among(place: Column, places: Collection[int], buckets: int) -> Column:
     return F.get(_listed([int(k in chosen) for k in range(buckets)]), place) == "1"
 
 
-def _read_version(
+def holder_of(version: Row, place: Column) -> Column:
+    """The version whose folder holds a bucket."""
+    return F.get(
+        _listed(version["holders"].split(",")),
+        F.get(_listed(version["held_by"].split(",")), place).cast("int"),
+    )
+
+
+def read_buckets(
     spark: SparkSession, base: str, layer: str, version: Row | None, places: Collection[int] | None = None
 ) -> DataFrame:
     """A version's rows, or those in the buckets ``places``: only their folders are read."""
     if version is None or version["buckets"] == 0:
         return no_rows(spark, S.LAYER_SCHEMA)
     buckets = version["buckets"]
-    holder = F.get(
-        _listed(version["holders"].split(",")),
-        F.get(_listed(version["held_by"].split(",")), F.col("layer_bucket")).cast("int"),
-    )
+    holder = holder_of(version, F.col("layer_bucket"))
     with _bucketed_table(spark, data_path(base, layer), buckets) as name:
         rows = spark.table(name).filter(F.col("layer_version") == holder)
         if places is not None:
@@ -149,7 +154,7 @@ def upsert(
     if not touched:
         return _nothing_came(rows_before, names)
     in_place = stored == buckets
-    existing = _read_version(spark, base, layer, current, touched if in_place else None)
+    existing = read_buckets(spark, base, layer, current, touched if in_place else None)
     merged = merge_latest(existing, latest_per_key(incoming, tallies), names, keep_newer=keep_newer)
     written = Observation()
     stray = F.count_if(F.col("__arrived") & ~_among(bucket_of(buckets), touched, buckets))

@@ -16,7 +16,14 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from orderlayers import schema as S
-from orderlayers.sources.frames import one_row, path_exists, read_or_empty
+from orderlayers.sources.frames import one_row, path_exists, read_or_empty, remove_path
+
+KEY_PARTS = ("ranges", "words")
+
+
+def key_path(base: str, layer: str, part: str) -> str:
+    """Where ranges or filter words of the buckets' keys lie."""
+    return f"{base.rstrip('/')}/{layer}/keys/{part}"
 
 
 def _log_path(base: str, layer: str) -> str:
@@ -84,7 +91,8 @@ def drop_old_versions(spark: SparkSession, base: str, layer: str, keep: int = 1)
     """Delete the data that none of the ``keep`` newest publications needs; return the folders' versions.
 
     Folders of runs that died go too, so no run may be writing the layer meanwhile. Of a folder
-    that is still needed for some of its buckets, the others go. A layer that never published
+    that is still needed for some of its buckets, the others go. What is known of the keys of
+    deleted folders goes with them. A layer that never published
     anything is left alone.
     """
     newest = publications(spark, base, layer).orderBy(F.desc("seq")).limit(max(keep, 1)).collect()
@@ -109,4 +117,7 @@ def drop_old_versions(spark: SparkSession, base: str, layer: str, keep: int = 1)
             for part in files.listStatus(entry.getPath()):
                 if part.getPath().getName().rpartition("=")[2] not in needed[version]:
                     files.delete(part.getPath(), True)
+    for kind in KEY_PARTS:
+        for version in dropped:
+            remove_path(spark, f"{key_path(base, layer, kind)}/version={version}")
     return dropped

@@ -339,9 +339,9 @@ def test_one_key_writes_one_bucket(spark, base, kept):
 def test_small_upsert_reads_its_buckets_only(spark, base, kept, monkeypatch):
     upsert(spark, base, S.VALIDATED, kept, "r1", buckets=8)
     one = kept.orderBy("_id").limit(1)
-    read = keyed_layers._read_version
+    read = keyed_layers.read_buckets
     frames = []
-    monkeypatch.setattr(keyed_layers, "_read_version", lambda *a: frames.append(read(*a)) or frames[-1])
+    monkeypatch.setattr(keyed_layers, "read_buckets", lambda *a: frames.append(read(*a)) or frames[-1])
     upsert(spark, base, S.VALIDATED, one, "r2")
     plan = frames[0]._jdf.queryExecution().executedPlan()
     frames[0].collect()
