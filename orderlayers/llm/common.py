@@ -56,7 +56,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(frame: DataFrame, label: str) -> DataFrame:
+def stored(frame: DataFrame, label: str, compression: str | None = None) -> DataFrame:
     """``frame`` written to the shared scratch folder and read again.
 
     The lineage ends here, a lost executor costs no recomputation of what came before, and
@@ -64,7 +64,7 @@ def stored(frame: DataFrame, label: str) -> DataFrame:
     """
     spark = frame.sparkSession
     path = scratch_path(spark, label)
-    frame.write.parquet(path)
+    frame.write.parquet(path, compression=compression)
     return spark.read.schema(frame.schema).parquet(path)
 
 

@@ -16,6 +16,10 @@ text falls into units, such as a word with the white space and signs before it,
 out once and remembered; a text's prefix counts are those of its units, one upon the other.
 Characters that are no piece count their bytes (byte fallback).
 
+``prefix_store`` keeps for each character by how much it changes the count of the prefix it ends,
+one signed byte each, so the store is no larger than the texts. ``budget_answers`` reads token
+counts and cuts within a budget off the store; it knows neither the texts nor the model.
+
 Defined results: NULL and empty texts have no tokens and one prefix, the empty one. Strings of
 special tokens inside texts are ordinary text. Repeated rows get equal results, a NULL ``doc_id``
 is a row like any other, other columns are not read. Prefixes count code points.
@@ -24,7 +28,6 @@ is a row like any other, other columns are not read. Prefixes count code points.
 from __future__ import annotations
 
 import heapq
-import itertools
 import re
 import uuid
 from collections.abc import Iterator
@@ -36,8 +39,9 @@ from pyspark.sql import functions as F
 
 from orderlayers.llm.common import id_and_text, slices, text_column
 
-#: Units and pairs that a worker remembers before it starts afresh.
-REMEMBERED = 1 << 20
+#: Units and pairs that a worker remembers before it starts afresh, and the longest such unit:
+#: together they bound a worker's memory by about 250 MB.
+REMEMBERED, LONGEST_REMEMBERED = 1 << 19, 64
 SPACE = "▁"
 
 
@@ -63,6 +67,10 @@ class Pieces:
         order = sorted(normal, key=lambda p: -p.score)
         self.rank = {p.piece: k for k, p in enumerate(order)}
         self.longest = max(map(len, self.rank))
+        # A character takes a count back at most to where the longest piece begins, four bytes
+        # for each of its characters, and so changes it by no more than a signed byte holds.
+        if 4 * self.longest > 127:
+            raise ValueError("pieces of this model are too long for steps of one byte")
         # Letters and digits that some piece ties to a following sign.
         self.tied = "".join(sorted({a for p in self.rank for a, b in zip(p, p[1:]) if _is_word(a) and not _is_word(b)}))
         # White space, signs, letters: a unit ends where a letter or digit is followed by a sign.
@@ -109,8 +117,7 @@ class PrefixCounter:
     def __init__(self, pieces: Pieces) -> None:
         self.pieces = pieces
         self.apart: dict[tuple[str, str], bool] = {}
-        self.totals: dict[str, int] = {}
-        self.prefixes: dict[str, list[int]] = {}
+        self.known: dict[str, bytes] = {}
         self._units = re.compile(pieces.units).findall
         self._tied_units = re.compile(pieces.tied_units).findall
 
@@ -158,38 +165,45 @@ class PrefixCounter:
             fits = self.apart["", piece] = self.pieces.merge(piece) == [piece]
         return fits
 
-    def total(self, text: str) -> int:
-        """Token count of a whole text."""
+    def _unit_steps(self, unit: str) -> bytes:
+        """By how much each character of a unit changes the count, as signed bytes."""
+        steps = np.diff(self.unit(unit), prepend=0).astype(np.int8).tobytes()
+        if len(unit) <= LONGEST_REMEMBERED:
+            self.known[unit] = steps
+        return steps
+
+    def steps(self, text: str) -> np.ndarray:
+        """By how much each character changes the token count of the prefix that it ends."""
         if not text:
-            return 0
-        totals = self.totals
-        if len(totals) > REMEMBERED:
-            totals.clear()
+            return np.zeros(0, np.int8)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
         units = self.units(text)
-        counts = list(map(totals.get, units))
-        if None in counts:
-            for k, count in enumerate(counts):
-                if count is None:
-                    unit = units[k]
-                    counts[k] = totals[unit] = self.unit(unit)[-1]
-        return sum(counts)
+        parts = list(map(self.known.get, units))
+        if None in parts:
+            for k, part in enumerate(parts):
+                if part is None:
+                    parts[k] = self.known.get(units[k]) or self._unit_steps(units[k])
+        found = np.frombuffer(b"".join(parts), np.int8)
+        # The white space put before a text is no character of it; its step is the first one's.
+        steps = found[1:].copy()
+        steps[0] += found[0]
+        return steps
+
+    def total(self, text: str) -> int:
+        """Token count of a whole text."""
+        return int(self.steps(text).sum(dtype=np.int64))
 
     def every(self, text: str) -> np.ndarray:
         """Token count of each prefix of a text, the empty one first."""
-        if not text:
-            return np.zeros(1, np.int32)
-        if len(self.prefixes) > REMEMBERED // 8:
-            self.prefixes.clear()
-        parts, base = [], 0
-        for unit in self.units(text):
-            known = self.prefixes.get(unit)
-            if known is None:
-                known = self.prefixes[unit] = self.unit(unit)
-            parts.append([base + x for x in known])
-            base = parts[-1][-1]
-        counts = np.fromiter(itertools.chain.from_iterable(parts), np.int32, len(text) + 1)
-        counts[0] = 0  # the white space put before a text is no character of it
-        return counts
+        return counts_of(self.steps(text))
+
+
+def counts_of(steps: np.ndarray) -> np.ndarray:
+    """Token count of each prefix, the empty one first, from the steps between them."""
+    counts = np.zeros(len(steps) + 1, np.int32)
+    np.cumsum(steps, dtype=np.int32, out=counts[1:])
+    return counts
 
 
 _counters: dict[str, PrefixCounter] = {}
@@ -219,8 +233,12 @@ class _Shared:
         return {"broadcast": self.broadcast, "id": self.id}
 
 
-def token_counts(docs: DataFrame, path: str) -> DataFrame:
-    """(doc_id, n_bytes, n_tokens) for each row of ``docs`` (doc_id, text); ``path`` is the model file."""
+def prefix_store(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_bytes, steps) for each row of ``docs`` (doc_id, text); ``path`` is the model file.
+
+    ``steps`` holds a signed byte for each character; the sum of the first k of them is the exact
+    token count of the first k characters.
+    """
     pieces = _Shared(docs.sparkSession, path)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,17 +247,52 @@ def token_counts(docs: DataFrame, path: str) -> DataFrame:
             texts = batch.column(1).fill_null("")
             _, offsets = text_column(texts)
             for first, last in slices(offsets):
-                found = [counter.total(t) for t in texts.slice(first, last - first).to_pylist()]
+                found = [counter.steps(t).tobytes() for t in texts.slice(first, last - first).to_pylist()]
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(first, last - first),
                         pa.array(np.diff(offsets[first : last + 1])),
-                        pa.array(found, pa.int64()),
+                        pa.array(found, pa.binary()),
                     ],
-                    ["doc_id", "n_bytes", "n_tokens"],
+                    ["doc_id", "n_bytes", "steps"],
                 )
 
-    return id_and_text(docs).mapInArrow(work, "doc_id long, n_bytes long, n_tokens long")
+    return id_and_text(docs).mapInArrow(work, "doc_id long, n_bytes long, steps binary")
+
+
+def budget_answers(store: DataFrame, budget: int) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens, n_chars, fitting_chars) from a store.
+
+    ``fitting_chars`` is the length of the longest prefix of at most ``budget`` tokens. A longer
+    prefix may have fewer tokens, so it's not where counts first pass the budget.
+    """
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            column = batch.column(2)
+            tokens, fitting = np.zeros((2, len(column)), np.int64)
+            sizes = np.zeros(len(column), np.int64)
+            for k, value in enumerate(column):
+                steps = np.frombuffer(value.as_buffer(), np.int8)
+                sizes[k], tokens[k] = len(steps), steps.sum(dtype=np.int64)
+                if tokens[k] <= budget:
+                    fitting[k] = len(steps)
+                else:
+                    fits = np.flatnonzero(counts_of(steps) <= budget)
+                    fitting[k] = fits[-1] if len(fits) else 0
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), *map(pa.array, (tokens, sizes, fitting))],
+                ["doc_id", "n_bytes", "n_tokens", "n_chars", "fitting_chars"],
+            )
+
+    return store.select("doc_id", "n_bytes", "steps").mapInArrow(
+        work, "doc_id long, n_bytes long, n_tokens long, n_chars long, fitting_chars long"
+    )
+
+
+def token_counts(docs: DataFrame, path: str) -> DataFrame:
+    """(doc_id, n_bytes, n_tokens) for each row of ``docs``: the last of its prefix counts."""
+    return budget_answers(prefix_store(docs, path), 0).select("doc_id", "n_bytes", "n_tokens")
 
 
 def prefix_counts(docs: DataFrame, path: str) -> DataFrame:

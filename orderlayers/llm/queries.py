@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from orderlayers.llm.common import ship_package, table
+from orderlayers.llm.common import ship_package, stored, table
 from orderlayers.llm import langid
 from orderlayers.llm.bpe import BpeCodec
 from orderlayers.llm.decontaminate import contaminated
@@ -17,7 +17,7 @@ from orderlayers.llm.license_scan import license_scan
 from orderlayers.llm.maxent_lm import MaxentScorer, in_training
 from orderlayers.llm.minhash import minhash_components
 from orderlayers.llm.pii import personal_data
-from orderlayers.llm.prefix_tokens import token_counts
+from orderlayers.llm.prefix_tokens import budget_answers, prefix_store
 from orderlayers.llm.quality import grade_documents, train_grade_model
 from orderlayers.llm.spotsigs import compare_edited
 from orderlayers.llm.token_alignment import Aligned
@@ -77,9 +77,11 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes and tokens of every document, and whether it has more than 4096 tokens."""
-    counts = token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
-    return counts.withColumn("over_limit", F.col("n_tokens") > 4096)
+    """Bytes and tokens of every document, whether it has more than 4096 tokens, and how far they reach."""
+    docs = table(spark, sf_dir, "documents")
+    store = stored(prefix_store(docs, public_tokenizers.path("piece_bpe_32k.model")), "prefix-store", "zstd")
+    answers = budget_answers(store, 4096)
+    return answers.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 4096).alias("over_limit"), "n_chars", "fitting_chars")
 
 
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
