@@ -67,6 +67,10 @@ class Pieces:
         order = sorted(normal, key=lambda p: -p.score)
         self.rank = {p.piece: k for k, p in enumerate(order)}
         self.longest = max(map(len, self.rank))
+        # How long a piece with these last three characters can be.
+        self.reach: dict[str, int] = {}
+        for p in self.rank:
+            self.reach[p[-3:]] = max(len(p), self.reach.get(p[-3:], 2))
         # A character takes a count back at most to where the longest piece begins, four bytes
         # for each of its characters, and so changes it by no more than a signed byte holds.
         if 4 * self.longest > 127:
@@ -134,11 +138,12 @@ class PrefixCounter:
 
     def unit(self, unit: str) -> list[int]:
         """Token count of each prefix of a unit, from its first character on."""
-        rank, apart, longest = self.pieces.rank, self.apart, self.pieces.longest
+        rank, apart, reach = self.pieces.rank, self.apart, self.pieces.reach
         counts = [0]
         lasts = [""]
         for end in range(1, len(unit) + 1):
-            for start in range(max(0, end - longest), end):
+            longest = reach.get(unit[end - 3 : end], 2) if end > 2 else 2
+            for start in range(end - longest if longest < end else 0, end):
                 piece = unit[start:end]
                 if piece not in rank:
                     continue
@@ -167,7 +172,8 @@ class PrefixCounter:
 
     def _unit_steps(self, unit: str) -> bytes:
         """By how much each character of a unit changes the count, as signed bytes."""
-        steps = np.diff(self.unit(unit), prepend=0).astype(np.int8).tobytes()
+        counts = self.unit(unit)
+        steps = bytes([(b - a) & 255 for a, b in zip([0, *counts], counts)])
         if len(unit) <= LONGEST_REMEMBERED:
             self.known[unit] = steps
         return steps
@@ -180,10 +186,10 @@ class PrefixCounter:
             self.known.clear()
         units = self.units(text)
         parts = list(map(self.known.get, units))
-        if None in parts:
-            for k, part in enumerate(parts):
-                if part is None:
-                    parts[k] = self.known.get(units[k]) or self._unit_steps(units[k])
+        at = -1
+        for _ in range(parts.count(None)):
+            at = parts.index(None, at + 1)
+            parts[at] = self.known.get(units[at]) or self._unit_steps(units[at])
         found = np.frombuffer(b"".join(parts), np.int8)
         # The white space put before a text is no character of it; its step is the first one's.
         steps = found[1:].copy()
