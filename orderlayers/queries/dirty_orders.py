@@ -63,8 +63,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def keyed_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The 17 order fields, and ``k``."""
+def joined_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``k`` and the columns of the tables that the rules read, under the tables' names and types."""
     orders = _table(spark, sf_dir, "orders")
     customer = _table(spark, sf_dir, "customer")
     nation = _table(spark, sf_dir, "nation")
@@ -75,15 +75,31 @@ def keyed_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
         .select(
             F.col("o_orderkey").alias("k"),
-            F.col("o_custkey").cast("string").alias("c"),
-            F.col("o_orderdate").cast("string").alias("d"),
-            F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("amt"),
-            "o_orderstatus", "c_name", "n_name", "r_name",
+            "o_custkey", "o_orderdate", "o_totalprice", "o_orderstatus", "c_name", "n_name", "r_name",
         )
-        .select("k", *[F.expr(rule).alias(field) for field, rule in RULES.items()])
     )
 
 
+def dirtied(joined: DataFrame) -> DataFrame:
+    """``joined_orders`` by the rules: the 17 order fields, and ``k``."""
+    return joined.select(
+        "k",
+        F.col("o_custkey").cast("string").alias("c"),
+        F.col("o_orderdate").cast("string").alias("d"),
+        F.col("o_totalprice").cast("decimal(15,2)").cast("string").alias("amt"),
+        "o_orderstatus", "c_name", "n_name", "r_name",
+    ).select("k", *[F.expr(rule).alias(field) for field, rule in RULES.items()])
+
+
+def keyed_dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 17 order fields, and ``k``."""
+    return dirtied(joined_orders(spark, sf_dir))
+
+
+def order_count(spark: SparkSession, sf_dir: str) -> int:
+    return _table(spark, sf_dir, "orders").count()
+
+
 def dirty_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_dirty_orders(spark, sf_dir).drop("k")
 
