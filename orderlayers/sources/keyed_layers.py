@@ -136,7 +136,8 @@ def upsert(
     With ``keep_newer`` a stored row that is newer than the incoming one stays.
 
     Only the buckets that incoming keys fall into are read and written anew, whatever the size
-    of the layer; a look at the keys alone tells which they are. The counts come out of the write
+    of the layer; a look at the keys alone tells which they are. An empty layer has no bucket to
+    spare, so its rows are read once, without that look. The counts come out of the write
     itself, observed after the last shuffle, where a task that is run again is not counted again.
     Where no row comes in, nothing is written. The merge shuffles to as many partitions as
     there are buckets, so the stored rows stay where they are and only the incoming ones move,
@@ -149,7 +150,10 @@ def upsert(
     stored = current["buckets"] if current else 0
     if buckets is None:
         buckets = bucket_count(expected_rows, partitions, stored)
-    touched = [row[0] for row in incoming.select(bucket_of(buckets)).distinct().collect()]
+    if stored:
+        touched = [row[0] for row in incoming.select(bucket_of(buckets)).distinct().collect()]
+    else:
+        touched = list(range(buckets))
     rows_before = current["rows"] if stored else 0
     if not touched:
         return _nothing_came(rows_before, names)
@@ -176,6 +180,8 @@ def upsert(
     counts = written.get
     if counts.pop("stray"):
         raise RuntimeError("incoming rows had other keys when they were read again")
+    if not counts["incoming_keys"]:
+        return _nothing_came(rows_before, names)
     counts["layer_rows"] = rows_before + counts["inserted_keys"]
     held_by = bucket_holders(current) if in_place else [version] * buckets
     for place in touched:

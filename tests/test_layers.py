@@ -126,6 +126,19 @@ def test_nothing_incoming_publishes_nothing(spark, base, kept):
     assert read_layer(spark, base, S.VALIDATED).count() == 1351
 
 
+def test_first_upsert_reads_its_rows_once(spark, base, kept):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def seen(value):
+        read.add(1)
+        return value
+
+    rows = kept.withColumn("_id", seen.asNondeterministic()("_id"))
+    assert upsert(spark, base, S.VALIDATED, rows, "r1")["inserted_keys"] == 1351
+    assert read.value == 1351
+
+
 def test_hot_key_keeps_newest_and_counts_all(spark, base, kept):
     """A third of all rows under one key."""
     hot = kept.limit(1).crossJoin(spark.range(700).withColumnRenamed("id", "n")).select(
