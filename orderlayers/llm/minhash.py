@@ -53,8 +53,9 @@ from orderlayers.llm.components import connected_components
 BANDS, ROWS = 28, 5
 #: Members of a bucket that are compared at once, and shingles counted at once.
 BLOCK, CHUNK = 512, 4096
-#: Most bits of the filter that tells which documents' sets are needed: 4 MB.
-FILTER_BITS = 25
+#: Bits for each entry, and most bits (4 MB), of the filters that tell which documents' sets are
+#: needed and which buckets are shared. With fewer than LEAST_BITS an entry, much passes by chance.
+ENTRY_BITS, LEAST_BITS, FILTER_BITS = 64, 8, 25
 
 _SEED = 0x2545F4914F6CDD1D
 
@@ -176,6 +177,30 @@ def _set_batches(n: int, needed):
     return work
 
 
+def _filter_of(entries: DataFrame, column: str) -> tuple[np.ndarray, bool]:
+    """A filter of bounded size of a column of hashes, and whether little passes it by chance."""
+    count = entries.count()
+    bits = min(max((ENTRY_BITS * count).bit_length(), 16), FILTER_BITS)
+    return bit_filter(entries, column, bits), LEAST_BITS * count <= 1 << bits
+
+
+def _shared_batches(shared):
+    """(cls, size, bucket) for those of the classes' buckets that are in the filter of shared ones."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            buckets = batch.column(2).flatten().to_numpy()
+            owner = np.repeat(np.arange(len(batch)), batch.column(2).value_lengths().to_numpy())
+            keep = in_filter(shared.value, buckets.view(np.uint64))
+            rows = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(rows), batch.column(1).take(rows), pa.array(buckets[keep])],
+                ["cls", "size", "bucket"],
+            )
+
+    return work
+
+
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b) whose full sets have the asked similarity."""
     left = sets.select(F.col("cls").alias("a"), F.col("shingles").alias("set_a"))
@@ -226,19 +251,24 @@ def minhash_components(
         .select("bucket"),
         "minhash-buckets",
     )
-    together = stored(in_bands.join(shared, "bucket"), "minhash-together")
+    # Most buckets have one member: a filter keeps nearly all of those from being moved to the join.
+    spark = docs.sparkSession
+    inside = spark.sparkContext.broadcast(_filter_of(shared, "bucket")[0])
+    likely = members.filter("bands is not null").select("cls", "n_shingles", "bands")
+    likely = likely.mapInArrow(_shared_batches(inside), "cls long, size long, bucket long")
+    together = stored(likely.join(shared, "bucket"), "minhash-together")
     needed = stored(
         together.select("cls").distinct().join(classes, F.col("cls") == F.col("sum_a")).select("cls", "rep"),
         "minhash-needed",
     )
-    # Texts are not moved: a filter of bounded size tells which of them are needed, and the sets
-    # of those few that pass it by chance, or repeat an id with another text, are joined away.
-    bits = min(max((8 * needed.count()).bit_length(), 16), FILTER_BITS)
-    spots = bit_filter(needed.select(F.xxhash64("rep").alias("spot")), "spot", bits)
-    passing = docs.sparkSession.sparkContext.broadcast(spots)
+    # Texts are not moved: a filter of bounded size tells which of them are needed. Sets of those
+    # that pass it by chance, or repeat an id with another text, link nothing and lessen no one's
+    # room; they are joined away only where the filter is too full to keep them few.
+    spots, few = _filter_of(needed.select(F.xxhash64("rep").alias("spot")), "spot")
+    passing = spark.sparkContext.broadcast(spots)
     sets = texts.filter("doc_id is not null").select("doc_id", "text", F.xxhash64("doc_id").alias("spot"))
     sets = sets.mapInArrow(_set_batches(n, passing), "cls long, shingles array<long>")
-    sets = stored(sets.join(needed.select("cls"), "cls", "left_semi"), "minhash-sets")
+    sets = stored(sets if few else sets.join(needed.select("cls"), "cls", "left_semi"), "minhash-sets")
     roots = _linked(stored(_with_room(together, sets, percent), "minhash-waiting"), sets, percent)
     columns = ["doc_id", "n_shingles", "component_id", "row_key"]
     alone = sketched.filter("doc_id is null or n_shingles = 0").withColumn("component_id", F.col("doc_id"))

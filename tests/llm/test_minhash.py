@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from orderlayers.llm import minhash
 from orderlayers.llm.minhash import keep_one_of_each, minhash_components, sketches
 
 
@@ -80,3 +81,22 @@ def test_stage_keeps_one_row_of_repeated_and_null_ids(docs):
     kept = sorted(str(x["doc_id"]) for x in keep_one_of_each(docs(*rows)).collect())
     assert kept == ["4", "5", "6", "None", "None"]
     assert keep_one_of_each(docs((1, "x")).limit(0)).count() == 0
+
+
+def test_buckets_of_one_member_are_not_moved(spark):
+    """Only rows whose bucket is in the filter come out, whatever the sizes of the lists."""
+    rows = [(k, 5, [k * 1000 + j for j in range(k % 4)] + [7]) for k in range(40)]
+    frame = spark.createDataFrame(rows, "cls long, size long, bands array<long>")
+    found, few = minhash._filter_of(spark.createDataFrame([(7,), (3001,)], "bucket long"), "bucket")
+    shared = spark.sparkContext.broadcast(found)
+    kept = frame.mapInArrow(minhash._shared_batches(shared), "cls long, size long, bucket long").collect()
+    assert few and sorted(map(tuple, kept)) == sorted([(k, 5, 7) for k in range(40)] + [(3, 5, 3001)])
+
+
+def test_full_filters_lose_no_link(docs, monkeypatch):
+    monkeypatch.setattr(minhash, "FILTER_BITS", 5)
+    r = random.Random(5)
+    rows = [(k, " ".join(r.choice(["a b c d e f g h i j k l", "m n o p q r s t u v w x"]).split()[k % 2 :])) for k in range(30)]
+    rows += [(100 + k, f"only {k} here") for k in range(30)]
+    found = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in minhash_components(docs(*rows)).collect()}
+    assert found == brute(rows)
