@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orderlayers import schema as S
+from orderlayers.session import setting
 from orderlayers.sources.frames import no_rows, path_exists, read_or_empty
 from orderlayers.sources.publications import current_version, version_path
 
@@ -31,13 +32,17 @@ def raw_path(spark: SparkSession, base: str) -> str:
 
 
 def append_raw(envelope: DataFrame, path: str) -> None:
-    """Append rows as they are; loading the same input again adds them again."""
-    (
-        envelope.withColumn("load", F.lit(BATCH_LOAD))
-        .write.mode("append")
-        .partitionBy("run_id", "load")
-        .parquet(path)
-    )
+    """Append rows as they are; loading the same input again adds them again.
+
+    Each task keeps a file open for its run, and so need not sort its wide rows by run.
+    """
+    with setting(envelope.sparkSession, "spark.sql.maxConcurrentOutputFileWriters", 2):
+        (
+            envelope.withColumn("load", F.lit(BATCH_LOAD))
+            .write.mode("append")
+            .partitionBy("run_id", "load")
+            .parquet(path)
+        )
 
 
 def replace_stream_load(envelope: DataFrame, path: str, run_id: str, batch_id: int) -> None:
