@@ -21,6 +21,10 @@ from orderlayers.sources.reports import append_report
 
 ENGINE = "pyspark_elt"
 
+# A task finds the newest rows of one piece of the work table by sorting it; this holds a few hundred
+# MB of rows, however well they are packed in the file.
+PIECE_BYTES = 32 << 20
+
 
 def _tallies(statuses: Collection[str]) -> dict:
     status = F.col("record_status")
@@ -65,7 +69,7 @@ def run_elt(
         work = scratch_path(spark, "elt-routed")
         # Each task keeps one open file a layer, and so need not sort its wide rows by layer.
         with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", 2):
-            rows.write.partitionBy("layer").parquet(work)
+            rows.write.partitionBy("layer").option("parquet.block.size", PIECE_BYTES).parquet(work)
         kept = spark.read.schema(rows.schema).parquet(work)
     else:
         kept = rows.persist(storage)
@@ -76,12 +80,13 @@ def run_elt(
             return None
         read = source["rows_read"]
         bad, good = (kept.filter(F.col("layer") == x).drop("layer") for x in (S.QUARANTINE, S.VALIDATED))
-        held = upsert(
-            spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read, only_new
-        )
-        passed = upsert(
-            spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read, only_new
-        )
+        with setting(spark, "spark.sql.files.maxPartitionBytes", PIECE_BYTES):
+            held = upsert(
+                spark, base, S.QUARANTINE, bad, run_id, _tallies(S.QUARANTINE_STATUSES), buckets, read, only_new
+            )
+            passed = upsert(
+                spark, base, S.VALIDATED, good, run_id, _tallies(S.ACCEPTED_STATUSES), buckets, read, only_new
+            )
         record_merged(spark, base, runs)
     finally:
         if storage is None:
