@@ -39,6 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from orderlayers.llm.common import crc_of_id, mix, slices, stored, text_column
+from orderlayers.session import setting
 
 #: Tokens with at least N / HEAD of all N training tokens: there can be no more than HEAD.
 HEAD = 1 << 17
@@ -57,6 +58,9 @@ PRIOR = 8.0
 #: FIRST_RARE as tokens; START is what is before a text.
 END, FIRST_RARE, START = 0, 1 << 18, (1 << 21) - 1
 
+#: Spark then deletes the shuffled files of a query as soon as it has ended.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 _SPACES = r"[\x20\x09-\x0D]+"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xD6E8FEB86659FD93)
@@ -308,12 +312,15 @@ class MaxentScorer:
         for _ in range(ROUNDS):
             weights = spark.sparkContext.broadcast(model)
             work = _gradient_batches(weights, self.head, self.first_bucket, self.buckets, RATE)
-            changes = (
-                texts.mapInArrow(work, "block int, weight binary, change binary")
-                .groupBy("block")
-                .applyInArrow(_mean_change, "block int, weight binary, change binary")
-                .collect()
-            )
+            # No later round reads a round's changes and weights: neither stays on disk.
+            with setting(spark, _CLEANUP, "true"):
+                changes = (
+                    texts.mapInArrow(work, "block int, weight binary, change binary")
+                    .groupBy("block")
+                    .applyInArrow(_mean_change, "block int, weight binary, change binary")
+                    .collect()
+                )
+            weights.destroy()
             changes.sort(key=lambda r: r["block"])
             seen, change = (np.concatenate([np.frombuffer(r[c], "<f4") for r in changes]) for c in ("weight", "change"))
             model = MaxentModel(tree, bits, (model.weights + change) * (seen / (seen + np.float32(PRIOR))))

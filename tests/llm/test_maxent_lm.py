@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -77,3 +78,19 @@ def test_rare_words_move_the_words_after_them_and_have_buckets(docs, monkeypatch
     told = docs("rare7 north by the way", "rare7 south by the way")
     fit, misfit = (x["score"] for x in scorer.score(told).orderBy("doc_id").collect())
     assert fit > misfit
+
+
+def test_no_round_leaves_its_changes_or_weights_on_disk(spark, docs):
+    scorer = MaxentScorer(docs("some words", "more words than some"))
+    blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def kept():
+        names = blocks.getAllFiles().mkString(" ").split(" ")
+        return {n.rsplit("/", 1)[-1] for n in names if re.search(r"/(shuffle_[^/]*[.]data|broadcast_[^/]*_python)$", n)}
+
+    before = kept()
+    scorer._train(docs("some words", "more words than some"), scorer.model.tree)
+    until = time.monotonic() + 20
+    while kept() - before and time.monotonic() < until:
+        time.sleep(0.1)
+    assert not kept() - before
