@@ -12,7 +12,8 @@ smoothed count's share of the bucket. As context, a rare token is a hashed numbe
 RARE. Without weights each choice follows the smoothed counts, so that the model starts as their
 distribution. Probabilities sum to one over all tokens, each bucket holding one unseen one.
 
-Learning covers every training text, read anew in each round: from common weights, each task
+Learning covers every training text in each round; the texts are split and looked up once, and the
+numbers of their tokens kept on the executors' disks between rounds. From common weights, each task
 takes steps by gradient and curvature on its part of the texts, and Spark averages the tasks' weight
 changes block by block, each weighing the curvature it has seen, so that what few tasks have met
 is not averaged away; the driver holds the weights.
@@ -29,16 +30,19 @@ rows are scored each, and learned from each. Other columns are not read.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orderlayers.llm.common import crc_of_id, mix, slices, stored, text_column
+from orderlayers.llm.common import BATCH_SETTING, crc_of_id, mix, slices, stored, text_column
 from orderlayers.session import setting
 
 #: Tokens with at least N / HEAD of all N training tokens: there can be no more than HEAD.
@@ -58,22 +62,29 @@ PRIOR = 8.0
 #: FIRST_RARE as tokens; START is what is before a text.
 END, FIRST_RARE, START = 0, 1 << 18, (1 << 21) - 1
 
+#: Tokens whose choices are worked out at once, and weights changed at once: arrays that fit the cache.
+AT_ONCE, WEIGHTS_AT_ONCE = 1 << 11, 1 << 14
+#: Tokens counted in a task before their counts go on to Spark.
+COUNTED = 1 << 18
+#: Steps that a task gets at once, of BATCH numbers each.
+STEP_ROWS = 8
+
 #: Spark then deletes the shuffled files of a query as soon as it has ended.
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
-_SPACES = r"[\x20\x09-\x0D]+"
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 _TURN = np.uint64(0xD6E8FEB86659FD93)
 
 
+#: Hash of the constant feature.
+_CONSTANT = mix(np.zeros(1, np.uint64))
+
+
 def _feature_hashes(before: np.ndarray, earlier: np.ndarray) -> list[np.ndarray]:
-    """Constant, token before, token before that (skip), both, as hashes of their own."""
+    """Token before, token before that (skip), both, as hashes of their own."""
     one, two = before.astype(np.uint64), earlier.astype(np.uint64)
     kind = np.uint64(1 << 60)
-    return [
-        mix(x)
-        for x in (np.zeros_like(one), kind + one, np.uint64(2) * kind + two, np.uint64(3) * kind + (two << np.uint64(21)) + one)
-    ]
+    return [mix(x) for x in (kind + one, np.uint64(2) * kind + two, np.uint64(3) * kind + (two << np.uint64(21)) + one)]
 
 
 @dataclass
@@ -81,8 +92,7 @@ class Tree:
     """Paths of all outcomes: the choices on the way down, and whether each goes right."""
 
     marks: np.ndarray  # where each outcome's path begins, and one more mark
-    nodes: np.ndarray
-    rights: np.ndarray
+    paths: np.ndarray  # numbers of choices, doubled, and 1 if the path goes right there
     base: np.ndarray  # each choice's log odds by the smoothed counts
 
     @classmethod
@@ -109,13 +119,11 @@ class Tree:
             low, high = low[high - low > 1], high[high - low > 1]
         if not spots:
             none = np.empty(0, np.int64)
-            return cls(np.zeros(size + 1, np.int64), none, none.astype(bool), none.astype(float))
+            return cls(np.zeros(size + 1, np.int64), none.astype(np.int32), none.astype(float))
         owner = order[np.concatenate(spots)]
         sort = np.argsort(owner, kind="stable")
-        return cls(
-            np.searchsorted(owner[sort], np.arange(size + 1)),
-            np.concatenate(nodes)[sort], np.concatenate(rights)[sort], np.concatenate(base),
-        )
+        paths = 2 * np.concatenate(nodes)[sort] + np.concatenate(rights)[sort]
+        return cls(np.searchsorted(owner[sort], np.arange(size + 1)), paths.astype(np.int32), np.concatenate(base))
 
 
 @dataclass
@@ -133,27 +141,57 @@ class MaxentModel:
         """Each outcome is a leaf of its own: its number, and one more mark."""
         return np.arange(len(self.tree.marks))
 
-    def choices(self, before: np.ndarray, earlier: np.ndarray, outcome: np.ndarray):
-        """Of all tokens' choices one after another: sizes by token, places of weights, log odds, rights."""
-        tree = self.tree
-        sizes = tree.marks[outcome + 1] - tree.marks[outcome]
-        owner = np.repeat(np.arange(len(outcome)), sizes)
-        at = np.arange(len(owner)) + np.repeat(tree.marks[outcome] - np.cumsum(sizes) + sizes, sizes)
-        nodes = tree.nodes[at]
-        spread, odds, places = nodes.astype(np.uint64) * _STEP, tree.base[nodes], []
+    def _places(self, hashed: np.ndarray, spread: np.ndarray) -> np.ndarray:
+        """Places of the weights of features (changed in place) and choices."""
+        hashed ^= spread
+        hashed *= _TURN
+        hashed >>= np.uint64(64 - self.bits)
+        return hashed.view(np.int64)
+
+    def constants(self) -> tuple[np.ndarray, np.ndarray]:
+        """Of each choice: place of its constant's weight, and its log odds without any context."""
+        spread = np.arange(len(self.tree.base), dtype=np.uint64) * _STEP
+        places = self._places(np.repeat(_CONSTANT, len(spread)), spread)
+        return places, self.tree.base + self.weights[places]
+
+    def choices(self, alone: np.ndarray, before: np.ndarray, earlier: np.ndarray, outcome: np.ndarray):
+        """Of all tokens' choices one after another: sizes by token, numbers, places of the contexts'
+        weights, log odds of the way not taken, and -1 where that is left, else 1. ``alone`` are the
+        choices' log odds without any context."""
+        first = self.tree.marks.take(outcome)
+        sizes = self.tree.marks.take(outcome + 1) - first
+        at = np.repeat(first - np.cumsum(sizes) + sizes, sizes)
+        at += np.arange(len(at))
+        paths = self.tree.paths.take(at)
+        nodes = (paths >> 1).astype(np.int64)
+        spread = nodes.view(np.uint64) * _STEP
+        odds, places = alone.take(nodes), []
         for hashed in _feature_hashes(before, earlier):
-            place = (((hashed[owner] ^ spread) * _TURN) >> np.uint64(64 - self.bits)).astype(np.int64)
-            odds = odds + self.weights[place]
+            place = self._places(np.repeat(hashed, sizes), spread)
+            odds += self.weights.take(place)
             places.append(place)
-        return sizes, places, odds, tree.rights[at]
+        side = 1.0 - 2 * (paths & 1)
+        odds *= side
+        return sizes, nodes, places, odds, side
 
     def log10(self, before: np.ndarray, earlier: np.ndarray, outcome: np.ndarray) -> np.ndarray:
         """log10 P(outcome | context)."""
-        sizes, _, odds, rights = self.choices(before, earlier, outcome)
-        logs = -np.logaddexp(0.0, np.where(rights, -odds, odds))
-        sums = np.concatenate([[0.0], np.cumsum(logs)])
-        marks = np.concatenate([[0], np.cumsum(sizes)])
-        return (sums[marks[1:]] - sums[marks[:-1]]) / math.log(10)
+        _, alone = self.constants()
+        found = np.empty(len(outcome))
+        for low in range(0, len(outcome), AT_ONCE):
+            part = slice(low, low + AT_ONCE)
+            sizes, _, _, odds, _ = self.choices(alone, before[part], earlier[part], outcome[part])
+            # log(1 + e^odds), whatever the size of the odds.
+            logs = np.abs(odds)
+            np.negative(logs, out=logs)
+            np.exp(logs, out=logs)
+            logs += 1
+            np.log(logs, out=logs)
+            logs += np.maximum(odds, 0, out=odds)
+            sums = np.concatenate([[0.0], np.cumsum(logs)])
+            marks = np.concatenate([[0], np.cumsum(sizes)])
+            found[part] = (sums[marks[:-1]] - sums[marks[1:]]) / math.log(10)
+        return found
 
 
 def in_training(column: str = "doc_id") -> F.Column:
@@ -161,15 +199,31 @@ def in_training(column: str = "doc_id") -> F.Column:
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    upper = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-    text = F.translate(F.coalesce(F.col("text").cast("string"), F.lit("")), upper, upper.lower())
+    """Texts as they are: A-Z are lower-cased where tokens are split."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
 
 
 def token_table(training: DataFrame) -> DataFrame:
     """(token, c) for all tokens but the end."""
-    words = _texts(training).select(F.explode(F.split("text", _SPACES)).alias("token"))
-    return words.filter("token <> ''").groupBy("token").agg(F.count(F.lit(1)).alias("c"))
+    counted = _texts(training).select("text").mapInArrow(_count_batches, "token binary, c long")
+    return counted.groupBy(F.col("token").cast("string").alias("token")).agg(F.sum("c").alias("c"))
+
+
+def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of a task's tokens, for Spark to add up: of about COUNTED tokens at once."""
+    counts = Counter()
+
+    def found() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["token", "c"])
+
+    for batch in batches:
+        for _, _, rows in _tokens(batch):
+            counts.update(chain.from_iterable(rows))
+            if len(counts) >= COUNTED:
+                yield found()
+                counts.clear()
+    yield found()
 
 
 def _tokens(batch: pa.RecordBatch, column: str = "text"):
@@ -178,62 +232,74 @@ def _tokens(batch: pa.RecordBatch, column: str = "text"):
     _, offsets = text_column(texts)
     for first, last in slices(offsets):
         raw = texts.slice(first, last - first).cast(pa.binary()).to_pylist()
-        yield first, last, [x.split() for x in raw]
-
-
-def _numbers(rows: list[list[bytes]], head: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Numbers and log counts (NaN for rare tokens) of the tokens of rows with their ends, and lengths."""
-    found = [head.get(t) or (math.nan, FIRST_RARE + crc32(t) % RARE) for row in rows for t in row]
-    lengths = np.array([len(r) + 1 for r in rows], np.int64)
-    inner = np.ones(int(lengths.sum()), bool)
+        # Of bytes, these are A-Z alone and the six kinds of ASCII white space.
+        yield first, last, [x.lower().split() for x in raw]
+
+
+def _numbers(rows: list[list[bytes]], head: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Numbers of the tokens of rows with their ends, lengths, and the rare tokens."""
+    words = list(chain.from_iterable(rows))
+    found = np.fromiter(map(head.get, words, repeat(-1)), np.int64, len(words))
+    rare = np.flatnonzero(found < 0)
+    rare_words = [words[k] for k in rare.tolist()]
+    found[rare] = np.fromiter(map(crc32, rare_words), np.int64, len(rare)) % RARE + FIRST_RARE
+    lengths = np.fromiter(map(len, rows), np.int64, len(rows)) + 1
+    inner = np.ones(len(words) + len(rows), bool)
     inner[np.cumsum(lengths) - 1] = False
-    numbers, logs = np.full(len(inner), END, np.int64), np.zeros(len(inner))
-    pairs = np.array(found, np.float64).reshape(-1, 2)
-    logs[inner], numbers[inner] = pairs[:, 0], pairs[:, 1].astype(np.int64)
-    return numbers, logs, lengths
+    numbers = np.full(len(inner), END, np.int64)
+    numbers[inner] = found
+    return numbers, lengths, rare_words
 
 
 def _outcomes(numbers: np.ndarray, first_bucket: int, buckets: int) -> np.ndarray:
     return np.where(numbers < FIRST_RARE, numbers, first_bucket + (numbers - FIRST_RARE) % buckets)
 
 
-def _contexts(numbers: np.ndarray, lengths: np.ndarray):
-    """The tokens before and before that of each token of texts laid one after another."""
-    before, earlier = np.empty_like(numbers), np.empty_like(numbers)
-    before[1:], earlier[2:] = numbers[:-1], numbers[:-2]
-    starts = np.concatenate([[0], np.cumsum(lengths)])[:-1]
-    before[starts] = START
-    earlier[starts] = START
-    second = starts[lengths > 1] + 1
-    earlier[second] = START
-    return before, earlier
+def _contexts(numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens before and before that of all numbers of texts laid one after another but the
+    first two, which come before them."""
+    before, earlier = numbers[1:-1], numbers[:-2]
+    first = before == END
+    return np.where(first, START, before), np.where(first | (earlier == END), START, earlier)
 
 
-def _gradient_batches(shared, head, first_bucket: int, buckets: int, rate: float):
-    """One pass of gradient steps over a task's texts; returns the change of the weights in blocks."""
+def _step_batches(head):
+    """The numbers of a task's texts, cut into steps, each behind the two numbers before it."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        base = shared.value
-        model = MaxentModel(base.tree, base.bits, base.weights.copy())
-        curvature = np.zeros_like(model.weights)
         held, waiting = 0, []
 
-        def learn() -> None:
-            before, earlier, outcome = (np.concatenate(x) for x in zip(*waiting, strict=True))
-            for low in range(0, len(before), BATCH):
-                part = slice(low, low + BATCH)
-                _step(model, curvature, before[part], earlier[part], outcome[part], rate)
+        def steps() -> pa.RecordBatch:
+            numbers = np.concatenate([[END, END], *waiting]).astype("<i4")
+            rows = [numbers[low : low + BATCH + 2].tobytes() for low in range(0, len(numbers) - 2, BATCH)]
+            return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["numbers"])
 
         for batch in batches:
             for _, _, rows in _tokens(batch):
-                numbers, _, lengths = _numbers(rows, head.value)
-                waiting.append((*_contexts(numbers, lengths), _outcomes(numbers, first_bucket, buckets)))
+                numbers, _, _ = _numbers(rows, head.value)
+                waiting.append(numbers)
                 held += len(numbers)
                 if held >= BATCH:
-                    learn()
+                    yield steps()
                     held, waiting = 0, []
         if waiting:
-            learn()
+            yield steps()
+
+    return work
+
+
+def _gradient_batches(shared, first_bucket: int, buckets: int, rate: float):
+    """One pass over a task's gradient steps; returns the change of the weights in blocks."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = shared.value
+        model = MaxentModel(base.tree, base.bits, base.weights.copy())
+        curvature = np.zeros_like(model.weights)
+        sums = np.zeros(len(model.weights), complex)
+        for batch in batches:
+            for row in batch.column(0):
+                numbers = np.frombuffer(row.as_buffer(), "<i4").astype(np.int64)
+                _step(model, sums, curvature, *_contexts(numbers), _outcomes(numbers[2:], first_bucket, buckets), rate)
         both = (np.array_split(x.astype("<f4"), BLOCKS) for x in (curvature, model.weights - base.weights))
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(BLOCKS), pa.int32()), *(pa.array([b.tobytes() for b in x], pa.binary()) for x in both)],
@@ -243,18 +309,37 @@ def _gradient_batches(shared, head, first_bucket: int, buckets: int, rate: float
     return work
 
 
-def _step(model: MaxentModel, curvature: np.ndarray, before, earlier, outcome, rate: float) -> None:
-    """A step on tokens in their contexts, each weight's by its slope and the curvature met so far."""
-    _, places, odds, rights = model.choices(before, earlier, outcome)
-    chance = 1 / (1 + np.exp(-odds))
-    error = chance - rights
-    # Of a choice that is far off, the curvature is no measure of the step.
-    bend = np.maximum(chance * (1 - chance), np.abs(error) / 4)
-    slope = np.zeros(len(model.weights))
-    for place in places:
-        slope += np.bincount(place, weights=error, minlength=len(slope))
-        curvature += np.bincount(place, weights=bend, minlength=len(slope)).astype(np.float32)
-    model.weights -= (rate * slope / (curvature + 1)).astype(np.float32)
+def _step(model: MaxentModel, sums: np.ndarray, curvature: np.ndarray, before, earlier, outcome, rate: float) -> None:
+    """A step on tokens in their contexts, each weight's by its slope and the curvature met so far.
+
+    ``sums`` holds a slope and a curvature for each weight, as one complex number so that both are
+    added at once; it is all zeros before and after the step."""
+    constant, alone = model.constants()
+    by_choice = np.zeros(len(alone), complex)
+    for low in range(0, len(outcome), AT_ONCE):
+        part = slice(low, low + AT_ONCE)
+        _, nodes, places, odds, side = model.choices(alone, before[part], earlier[part], outcome[part])
+        np.negative(odds, out=odds)
+        np.exp(odds, out=odds)
+        odds += 1
+        missed = np.reciprocal(odds, out=odds)
+        both = np.empty(len(missed), complex)
+        np.multiply(missed, side, out=both.real)
+        # Of a choice that is far off, the curvature is no measure of the step.
+        np.multiply(missed, np.maximum(1 - missed, 0.25), out=both.imag)
+        for place in places:
+            np.add.at(sums, place, both)
+        np.add.at(by_choice, nodes, both)
+    np.add.at(sums, constant, by_choice)
+    for low in range(0, len(sums), WEIGHTS_AT_ONCE):
+        part = slice(low, low + WEIGHTS_AT_ONCE)
+        change, bend = sums.real[part].astype(np.float32), sums.imag[part].astype(np.float32)
+        curvature[part] += bend
+        np.add(curvature[part], 1, out=bend)
+        change *= rate
+        change /= bend
+        model.weights[part] -= change
+        sums[part] = 0
 
 
 def _mean_change(block: pa.Table) -> pa.Table:
@@ -283,9 +368,9 @@ class MaxentScorer:
         head = self.counts.filter(frequent).orderBy(F.desc("c"), "token").collect()
         self.base_log = math.log10(self.tokens + 0.5 * (self.types + 1))
         self.ends = ends
-        self.head = spark.sparkContext.broadcast(
-            {r["token"].encode(): (math.log10(r["c"] + 0.5), k + 1) for k, r in enumerate(head)}
-        )
+        self.head = spark.sparkContext.broadcast({r["token"].encode(): k + 1 for k, r in enumerate(head)})
+        #: log10 of the smoothed counts of the end and the frequent tokens, by number.
+        self.head_logs = np.array([math.log10(c + 0.5) for c in (ends, *(r["c"] for r in head))])
         self.first_bucket = 1 + len(head)
         types = (row["v"] - len(head)) // TYPES_PER_BUCKET
         self.buckets = min(1 << max(types, 1).bit_length() - 1, BUCKETS)
@@ -309,25 +394,34 @@ class MaxentScorer:
         if not self.ends:
             return model
         texts = _texts(training).select("text").coalesce(PARTS)
-        for _ in range(ROUNDS):
-            weights = spark.sparkContext.broadcast(model)
-            work = _gradient_batches(weights, self.head, self.first_bucket, self.buckets, RATE)
-            # No later round reads a round's changes and weights: neither stays on disk.
-            with setting(spark, _CLEANUP, "true"):
-                changes = (
-                    texts.mapInArrow(work, "block int, weight binary, change binary")
-                    .groupBy("block")
-                    .applyInArrow(_mean_change, "block int, weight binary, change binary")
-                    .collect()
-                )
-            weights.destroy()
-            changes.sort(key=lambda r: r["block"])
-            seen, change = (np.concatenate([np.frombuffer(r[c], "<f4") for r in changes]) for c in ("weight", "change"))
-            model = MaxentModel(tree, bits, (model.weights + change) * (seen / (seen + np.float32(PRIOR))))
+        steps = texts.mapInArrow(_step_batches(self.head), "numbers binary").persist(StorageLevel.DISK_ONLY)
+        try:
+            steps.count()
+            for _ in range(ROUNDS):
+                model = self._round(steps, model)
+        finally:
+            steps.unpersist(blocking=True)
         return model
 
+    def _round(self, steps: DataFrame, model: MaxentModel) -> MaxentModel:
+        spark = steps.sparkSession
+        weights = spark.sparkContext.broadcast(model)
+        work = _gradient_batches(weights, self.first_bucket, self.buckets, RATE)
+        # No later round reads a round's changes and weights: neither stays on disk.
+        with setting(spark, _CLEANUP, "true"), setting(spark, BATCH_SETTING, STEP_ROWS):
+            changes = (
+                steps.mapInArrow(work, "block int, weight binary, change binary")
+                .groupBy("block")
+                .applyInArrow(_mean_change, "block int, weight binary, change binary")
+                .collect()
+            )
+        weights.destroy()
+        changes.sort(key=lambda r: r["block"])
+        seen, change = (np.concatenate([np.frombuffer(r[c], "<f4") for r in changes]) for c in ("weight", "change"))
+        return MaxentModel(model.tree, model.bits, (model.weights + change) * (seen / (seen + np.float32(PRIOR))))
+
     def _score_batches(self):
-        shared, ends, base_log = self.head, self.ends, self.base_log
+        shared, head_logs, ends, base_log = self.head, self.head_logs, self.ends, self.base_log
         first_bucket, buckets, bucket_logs = self.first_bucket, self.buckets, self.bucket_logs
         weights = self.counts.sparkSession.sparkContext.broadcast(self.model)
 
@@ -335,30 +429,21 @@ class MaxentScorer:
             head, model = shared.value, weights.value
             for batch in batches:
                 for first, last, rows in _tokens(batch):
-                    numbers, logs, lengths = _numbers(rows, head)
-                    stop = np.cumsum(lengths) - 1
-                    logs[stop] = math.log10(ends + 0.5)
-                    before, earlier = _contexts(numbers, lengths)
+                    numbers, lengths, words = _numbers(rows, head)
+                    before, earlier = _contexts(np.concatenate([[END, END], numbers]))
                     outcome = _outcomes(numbers, first_bucket, buckets)
-                    chance = np.concatenate([
-                        model.log10(before[k : k + BATCH], earlier[k : k + BATCH], outcome[k : k + BATCH])
-                        for k in range(0, len(outcome), BATCH)
-                    ])
+                    chance = model.log10(before, earlier, outcome)
                     # Rare tokens' counts are added later, from the joined table.
-                    tail = np.isnan(logs)
-                    count = np.where(tail, 0.0, logs)
+                    tail = numbers >= FIRST_RARE
+                    count = np.where(tail, 0.0, head_logs[np.where(tail, END, numbers)])
                     chance[tail] -= bucket_logs[outcome[tail] - first_bucket]
-                    starts = stop - lengths + 1
+                    starts = np.cumsum(lengths) - lengths
                     base = np.add.reduceat(count, starts) - lengths * base_log
                     score = np.add.reduceat(chance, starts)
                     known = np.add.reduceat((~tail).astype(np.int64), starts)
                     if not ends:
                         known -= 1
                     rare_rows = np.add.reduceat(tail.astype(np.int64), starts)
-                    inner = np.ones(len(tail), bool)
-                    inner[stop] = False
-                    flags = tail[inner].tolist()
-                    words = [t for t, f in zip((t for row in rows for t in row), flags, strict=True) if f]
                     marks = np.concatenate([[0], np.cumsum(rare_rows)]).astype(np.int32)
                     yield pa.RecordBatch.from_arrays(
                         [

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from orderlayers.llm import maxent_lm
 from orderlayers.llm.maxent_lm import MaxentScorer, in_training
@@ -94,3 +95,50 @@ def test_no_round_leaves_its_changes_or_weights_on_disk(spark, docs):
     while kept() - before and time.monotonic() < until:
         time.sleep(0.1)
     assert not kept() - before
+
+
+def test_training_reads_and_splits_its_texts_once_and_keeps_nothing(spark, docs):
+    lines = ("some words", "more words than some")
+    scorer = MaxentScorer(docs(*lines))
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def counted(text):
+        read.add(1)
+        return text
+
+    frame = docs(*lines).select("doc_id", counted.asNondeterministic()("text").alias("text"))
+    model = scorer._train(frame, scorer.model.tree)
+    assert read.value == len(lines)
+    assert np.allclose(model.weights, scorer.model.weights, atol=1e-6)
+    assert not spark.sparkContext._jsc.getPersistentRDDs()
+
+
+def test_a_step_moves_each_weight_by_its_own_slope_and_curvature(monkeypatch):
+    monkeypatch.setattr(maxent_lm, "AT_ONCE", 7)
+    monkeypatch.setattr(maxent_lm, "WEIGHTS_AT_ONCE", 50)
+    made = np.random.default_rng(3)
+    tree = maxent_lm.Tree.of(made.random(40))
+    model = maxent_lm.MaxentModel(tree, 8, made.random(256).astype(np.float32) - np.float32(0.5))
+    before, earlier, outcome = (made.integers(0, n, 100) for n in (5, 6, 40))
+    slope, bend = np.zeros(256), np.zeros(256)
+    logs = np.zeros(100)
+    constant = maxent_lm.mix(np.zeros(1, np.uint64))[0]
+    for k in range(100):
+        hashes = [constant, *(x[0] for x in maxent_lm._feature_hashes(before[k : k + 1], earlier[k : k + 1]))]
+        for path in tree.paths[tree.marks[outcome[k]] : tree.marks[outcome[k] + 1]].tolist():
+            node, right = divmod(path, 2)
+            spread = node * int(maxent_lm._STEP) % (1 << 64)
+            places = [((int(h) ^ spread) * int(maxent_lm._TURN) % (1 << 64)) >> 56 for h in hashes]
+            chance = 1 / (1 + math.exp(-(tree.base[node] + sum(float(model.weights[p]) for p in places))))
+            logs[k] += math.log10(chance if right else 1 - chance)
+            for p in places:
+                slope[p] += chance - right
+                bend[p] += max(chance * (1 - chance), abs(chance - right) / 4)
+    assert np.allclose(model.log10(before, earlier, outcome), logs)
+    wanted = model.weights - 0.5 * slope / (1 + bend)
+    sums, curvature = np.zeros(256, complex), np.zeros(256, np.float32)
+    maxent_lm._step(model, sums, curvature, before, earlier, outcome, 0.5)
+    assert np.allclose(model.weights, wanted, atol=1e-5)
+    assert np.allclose(curvature, bend, atol=1e-4)
+    assert not sums.any()
