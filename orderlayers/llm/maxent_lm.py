@@ -30,14 +30,13 @@ rows are scored each, and learned from each. Other columns are not read.
 from __future__ import annotations
 
 import math
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import chain, repeat
 from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -64,8 +63,8 @@ END, FIRST_RARE, START = 0, 1 << 18, (1 << 21) - 1
 
 #: Tokens whose choices are worked out at once, and weights changed at once: arrays that fit the cache.
 AT_ONCE, WEIGHTS_AT_ONCE = 1 << 11, 1 << 14
-#: Tokens counted in a task before their counts go on to Spark.
-COUNTED = 1 << 18
+#: Tokens that a task counts at once, for Spark to add up the counts.
+COUNTED = 1 << 20
 #: Steps that a task gets at once, of BATCH numbers each.
 STEP_ROWS = 8
 
@@ -211,40 +210,53 @@ def token_table(training: DataFrame) -> DataFrame:
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of a task's tokens, for Spark to add up: of about COUNTED tokens at once."""
-    counts = Counter()
+    """Counts of a task's tokens, of COUNTED at once."""
+    held, waiting = 0, []
 
     def found() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.binary()), pa.array(list(counts.values()), pa.int64())], ["token", "c"])
+        counts = pa.chunked_array(waiting).value_counts()
+        return pa.RecordBatch.from_arrays([counts.field("values").cast(pa.binary()), counts.field("counts")], ["token", "c"])
 
     for batch in batches:
-        for _, _, rows in _tokens(batch):
-            counts.update(chain.from_iterable(rows))
-            if len(counts) >= COUNTED:
+        for _, _, texts in _slices(batch):
+            waiting.append(_words(texts)[0])
+            held += len(waiting[-1])
+            if held >= COUNTED:
                 yield found()
-                counts.clear()
-    yield found()
+                held, waiting = 0, []
+    if waiting:
+        yield found()
 
 
-def _tokens(batch: pa.RecordBatch, column: str = "text"):
-    """Slices of a batch: (first row, last row, tokens of each row)."""
-    texts = batch.column(batch.schema.get_field_index(column))
+def _slices(batch: pa.RecordBatch):
+    """Slices of a batch: (first row, last row, texts)."""
+    texts = batch.column(batch.schema.get_field_index("text"))
     _, offsets = text_column(texts)
     for first, last in slices(offsets):
-        raw = texts.slice(first, last - first).cast(pa.binary()).to_pylist()
-        # Of bytes, these are A-Z alone and the six kinds of ASCII white space.
-        yield first, last, [x.lower().split() for x in raw]
-
-
-def _numbers(rows: list[list[bytes]], head: dict) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Numbers of the tokens of rows with their ends, lengths, and the rare tokens."""
-    words = list(chain.from_iterable(rows))
-    found = np.fromiter(map(head.get, words, repeat(-1)), np.int64, len(words))
-    rare = np.flatnonzero(found < 0)
-    rare_words = [words[k] for k in rare.tolist()]
-    found[rare] = np.fromiter(map(crc32, rare_words), np.int64, len(rare)) % RARE + FIRST_RARE
-    lengths = np.fromiter(map(len, rows), np.int64, len(rows)) + 1
-    inner = np.ones(len(words) + len(rows), bool)
+        yield first, last, texts.slice(first, last - first)
+
+
+def _words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts one after another with A-Z lower-cased, and how many each text has."""
+    split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, marks = split.flatten(), split.offsets.to_numpy()
+    # White space at either end of a text leaves an empty word there.
+    full = pc.binary_length(words).to_numpy() > 0
+    words = words.filter(pa.array(full))
+    sums = np.concatenate([[0], np.cumsum(full)])
+    return words, sums[marks[1:]] - sums[marks[:-1]]
+
+
+def _numbers(texts: pa.Array, head: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Numbers of the tokens of texts with their ends, lengths, and the rare tokens."""
+    words, lengths = _words(texts)
+    found = pc.index_in(words, value_set=head.cast(words.type)).fill_null(-1).to_numpy().astype(np.int64) + 1
+    rare = found == 0
+    rare_words = words.filter(pa.array(rare))
+    hashes = np.fromiter(map(crc32, rare_words.cast(pa.binary()).to_pylist()), np.int64, len(rare_words))
+    found[rare] = FIRST_RARE + hashes % RARE
+    lengths = lengths + 1
+    inner = np.ones(len(words) + len(lengths), bool)
     inner[np.cumsum(lengths) - 1] = False
     numbers = np.full(len(inner), END, np.int64)
     numbers[inner] = found
@@ -275,8 +287,8 @@ def _step_batches(head):
             return pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], ["numbers"])
 
         for batch in batches:
-            for _, _, rows in _tokens(batch):
-                numbers, _, _ = _numbers(rows, head.value)
+            for _, _, texts in _slices(batch):
+                numbers, _, _ = _numbers(texts, head.value)
                 waiting.append(numbers)
                 held += len(numbers)
                 if held >= BATCH:
@@ -368,7 +380,8 @@ class MaxentScorer:
         head = self.counts.filter(frequent).orderBy(F.desc("c"), "token").collect()
         self.base_log = math.log10(self.tokens + 0.5 * (self.types + 1))
         self.ends = ends
-        self.head = spark.sparkContext.broadcast({r["token"].encode(): k + 1 for k, r in enumerate(head)})
+        #: Frequent tokens; their numbers begin at 1.
+        self.head = spark.sparkContext.broadcast(pa.array([r["token"] for r in head], pa.string()))
         #: log10 of the smoothed counts of the end and the frequent tokens, by number.
         self.head_logs = np.array([math.log10(c + 0.5) for c in (ends, *(r["c"] for r in head))])
         self.first_bucket = 1 + len(head)
@@ -428,8 +441,8 @@ class MaxentScorer:
         def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             head, model = shared.value, weights.value
             for batch in batches:
-                for first, last, rows in _tokens(batch):
-                    numbers, lengths, words = _numbers(rows, head)
+                for first, last, texts in _slices(batch):
+                    numbers, lengths, words = _numbers(texts, head)
                     before, earlier = _contexts(np.concatenate([[END, END], numbers]))
                     outcome = _outcomes(numbers, first_bucket, buckets)
                     chance = model.log10(before, earlier, outcome)
@@ -452,7 +465,7 @@ class MaxentScorer:
                             pa.array(known),
                             pa.array(base),
                             pa.array(score),
-                            pa.ListArray.from_arrays(pa.array(marks), pa.array(words, pa.binary()).cast(pa.string())),
+                            pa.ListArray.from_arrays(pa.array(marks), words.cast(pa.string())),
                         ],
                         ["doc_id", "n_tokens", "n_known", "base_score", "score", "rare"],
                     )

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -142,3 +143,11 @@ def test_a_step_moves_each_weight_by_its_own_slope_and_curvature(monkeypatch):
     assert np.allclose(model.weights, wanted, atol=1e-5)
     assert np.allclose(curvature, bend, atol=1e-4)
     assert not sums.any()
+
+
+def test_words_are_those_between_six_kinds_of_white_space():
+    texts = ["", " \t", "One", "\n A\x0bB\x0cc\r\r\tÄÉ \x1c\x1d\x1e\x1f\x85 \xa0 e f ", "\x00 x\x00Y", "last "]
+    for made in (pa.array(texts), pa.array(["cut", *texts]).slice(1), pa.array(texts, pa.large_string())):
+        words, lengths = maxent_lm._words(made)
+        assert words.to_pylist() == [w for t in texts for w in split(t)]
+        assert lengths.tolist() == [len(split(t)) for t in texts]
